@@ -1,7 +1,7 @@
 """Row cleaning and label columns (Bronze to Silver).
 
 Everything here is lazy except ``drop_constant_columns``, whose result schema
-depends on the data and which therefore runs one aggregate.
+depends on the data and which therefore looks at it first.
 """
 
 from __future__ import annotations
@@ -14,9 +14,10 @@ from pyspark.sql import types as T
 
 from flowmedallion import vocabulary as V
 from flowmedallion.functions.expressions import is_one
-from flowmedallion.operators.profiling import constant_columns
+from flowmedallion.operators.profiling import checked_columns, constant_columns, varying_in_head
 
 MAX_PORT = 65_535
+PROBE_ROWS = 1000
 
 
 def remove_duplicates(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -84,8 +85,7 @@ def _label_spellings() -> dict[str, str]:
 
 
 def canonical_label(label: Column, unify_benign: bool = False) -> Column:
-    """Trimmed label under its canonical name; unknown labels are kept."""
-    label = F.trim(label)
+    """Canonical name of a trimmed label; unknown labels are kept."""
     result = F.when(F.lit(False), label)
     for raw, canonical in _label_spellings().items():
         result = result.when(label == raw, canonical)
@@ -97,22 +97,33 @@ def canonical_label(label: Column, unify_benign: bool = False) -> Column:
 def standardize_labels(df: DataFrame, label_col: str = "label", unify_benign: bool = False) -> DataFrame:
     if label_col not in df.columns:
         return df
-    return df.withColumn(label_col, canonical_label(F.col(label_col), unify_benign))
+    # trimmed in a projection of its own, so that a row is trimmed once for all comparisons
+    trimmed = df.withColumn(label_col, F.trim(F.col(label_col)))
+    return trimmed.withColumn(label_col, canonical_label(F.col(label_col), unify_benign))
 
 
 def drop_constant_columns(
     df: DataFrame,
     protected_columns: Sequence[str] = ("label",),
     measured_on: DataFrame | None = None,
+    probe_rows: int = PROBE_ROWS,
 ) -> DataFrame:
     """Drop columns with at most one distinct value, null counting as a value.
 
-    One aggregate over all columns decides.  ``measured_on`` may name a cheaper
-    frame with the same column values, such as the frame before de-duplication.
+    A column that varies within the first ``probe_rows`` rows varies in the whole
+    table, so only the others are measured, by one aggregate whose scan reads
+    just those columns.  ``measured_on`` may name a cheaper frame with the same
+    values, such as the frame before de-duplication.
     """
-    constants = constant_columns(measured_on if measured_on is not None else df, protected_columns)
-    dropped = [row["column"] for row in constants.collect() if row["column"] in df.columns]
-    return df.drop(*dropped)
+    measured = measured_on if measured_on is not None else df
+    open_columns = checked_columns(measured, protected_columns)
+    if probe_rows and open_columns:
+        varying = varying_in_head(measured.select(*open_columns), probe_rows)
+        open_columns = [c for c in open_columns if c not in varying]
+    if not open_columns:
+        return df
+    constants = constant_columns(measured.select(*open_columns), protected_columns)
+    return df.drop(*[row["column"] for row in constants.collect()])
 
 
 def silver_is_attack(label: Column) -> Column:

@@ -15,7 +15,7 @@ from flowmedallion import vocabulary as V
 from flowmedallion.functions.expressions import count_where, percentage
 from flowmedallion.operators.sampling import SPLIT, TEST, TRAIN
 
-# A group with at least 1/HOT_PARTS of all rows is hot; there are at most HOT_PARTS such groups.
+# A group with at least 1/HOT_PARTS of the shared rows is hot; there are at most HOT_PARTS such groups.
 HOT_PARTS = 1000
 
 
@@ -44,7 +44,7 @@ def feature_identical_rows(df: DataFrame, features: Sequence[str], split: str =
     features = list(features)
     shared = shared_feature_groups(df, features, split)
     size = F.col("train_rows") + F.col("test_rows")
-    limit = df.agg(F.count("*")).scalar() / F.lit(HOT_PARTS)
+    limit = shared.agg(F.sum(size)).scalar() / F.lit(HOT_PARTS)
     hot = shared.filter(size >= limit).select(*features)
     cold = shared.filter(size < limit).select(*features)
     from_hot = df.join(F.broadcast(hot), features, "left_semi")

@@ -58,6 +58,19 @@ def constant_columns(df: DataFrame, protected: Sequence[str] = ("label",)) -> Da
     return flags.filter("constant").select("column")
 
 
+def varying_in_head(df: DataFrame, rows: int) -> set[str]:
+    """Columns with two distinct values among the first rows; at most ``rows`` rows are fetched."""
+
+    def same(value: object) -> object:
+        # NaN equals itself here, as it does when Spark groups
+        return "NaN" if value != value else value
+
+    head = df.head(rows)
+    return {
+        c for i, c in enumerate(df.columns) if any(same(row[i]) != same(head[0][i]) for row in head)
+    }
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """Nulls per column, from one aggregate."""
     return _per_column(

@@ -18,12 +18,12 @@ def clean_bronze_to_silver(
     drop_constants: bool = True,
     subset: list[str] | None = None,
 ) -> DataFrame:
-    """The seven cleaning steps with one action and one shuffle.
+    """The seven cleaning steps with one shuffle.
 
     Row rules look at one row only, so they run before de-duplication and reach
-    the scan.  Whether a column is constant does not depend on copies, so the one
-    aggregate that finds constant columns reads the frame before the
-    de-duplication shuffle.  ``drop_constants=False`` keeps the whole thing lazy.
+    the scan.  Whether a column is constant does not depend on copies, so constant
+    columns are found on the frame before the de-duplication shuffle.
+    ``drop_constants=False`` keeps the whole thing lazy.
     """
     if critical_columns is None:
         critical_columns = C.default_critical_columns(df)
@@ -35,8 +35,10 @@ def clean_bronze_to_silver(
 
     silver = polish(C.remove_duplicates(valid, subset))
     if drop_constants:
-        measured = polish(valid) if subset is None else silver
-        silver = C.drop_constant_columns(silver, measured_on=measured)
+        if subset is None:
+            silver = C.drop_constant_columns(silver, measured_on=polish(valid))
+        else:  # which rows stay decides, so the result itself is measured, once
+            silver = C.drop_constant_columns(silver, probe_rows=0)
     return C.add_derived_columns(silver, label_col)
 
 

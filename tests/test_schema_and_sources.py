@@ -1,0 +1,217 @@
+import logging
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from flowmedallion.operators import schema as S
+from flowmedallion.sources import readers, synth, tables
+from flowmedallion.sources.session import create_spark_session, materialize, scratch_root
+from flowmedallion import vocabulary as V
+
+
+@pytest.mark.parametrize(
+    "raw, clean",
+    [
+        (" Source IP", "source_ip"),
+        ("Flow Duration", "flow_duration"),
+        ("Flow Bytes/s", "flow_bytes_s"),
+        ("Fwd-Header-Length", "fwd_header_length"),
+        ("  LABEL  ", "label"),
+        ("already_clean", "already_clean"),
+        ("a.b (c)", "a.b_(c)"),
+        ("a  b", "a__b"),
+        ("", ""),
+    ],
+)
+def test_clean_column_name(raw, clean):
+    assert S.clean_column_name(raw) == clean
+
+
+def test_clean_columns_keeps_dotted_names_and_refuses_clashes(spark):
+    assert S.clean_columns(spark.createDataFrame([(1, 2)], ["a.b", " C D"])).columns == ["a.b", "c_d"]
+    with pytest.raises(ValueError, match="source_ip"):
+        S.clean_columns(spark.createDataFrame([(1, 2)], ["Source IP", "source-ip"]))
+
+
+def test_cast_types_tolerates_bad_text_and_missing_columns(spark):
+    raw = spark.createDataFrame(
+        [("80", "12", "2024-01-01T10:00:00", 6), ("x", None, "never", 17)], ["port", "bytes", "timestamp", "protocol"]
+    )
+    cast = S.cast_types(raw)
+    assert dict(cast.dtypes) == {"port": "int", "bytes": "bigint", "timestamp": "timestamp", "protocol": "string"}
+    good, bad = cast.orderBy(F.col("port").desc_nulls_last()).collect()
+    assert (good["port"], good["bytes"], good["protocol"]) == (80, 12, "6")
+    assert (bad["port"], bad["bytes"], bad["timestamp"]) == (None, None, None)
+
+
+def test_align_columns_fills_zero(spark):
+    left, right = S.align_columns(
+        spark.createDataFrame([(1, 2)], ["a", "b"]), spark.createDataFrame([(3, 4)], ["c", "a"])
+    )
+    assert left.columns == right.columns == ["a", "b", "c"]
+    assert tuple(left.first()) == (1, 2, 0) and tuple(right.first()) == (4, 0, 3)
+
+
+def test_union_by_name_is_strict_by_default(spark):
+    one, two = spark.createDataFrame([(1,)], ["a"]), spark.createDataFrame([(1, 2)], ["a", "b"])
+    with pytest.raises(Exception, match="(?i)column"):
+        S.union_by_name([one, two]).collect()
+    assert S.union_by_name([one, two], allow_missing=True).count() == 2
+
+
+CSV = " Source IP,Destination Port,Label,Flow Bytes/s\n1.1.1.1,80,BENIGN,1.5\n1.1.1.2,443, DDoS,Infinity\n1.1.1.3,22,Bot,NaN\n"
+
+
+def test_csv_to_bronze_in_memory(spark, tmp_path):
+    (tmp_path / "flows.csv").write_text(CSV)
+    bronze = readers.ingest_csv_to_bronze_memory(spark, str(tmp_path))
+    assert bronze.columns == ["source_ip", "destination_port", "label", "flow_bytes_s", "_source_file", "_ingestion_ts"]
+    rows = bronze.orderBy("source_ip").collect()
+    assert [r["flow_bytes_s"] for r in rows] == [1.5, None, None]
+    assert {r["_source_file"] for r in rows} == {"flows.csv"}
+    assert rows[1]["label"] == " DDoS" and rows[0]["_ingestion_ts"] is not None
+    kept = readers.ingest_csv_to_bronze_memory(spark, str(tmp_path), keep_nonfinite=True).orderBy("source_ip").collect()
+    assert kept[1]["flow_bytes_s"] == math.inf and math.isnan(kept[2]["flow_bytes_s"])
+
+
+def test_csv_files_with_other_column_order_match_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("source_ip,label\n1,x\n")
+    (tmp_path / "b.csv").write_text("Label,Source IP\ny,2\n")
+    (tmp_path / "c.csv").write_text("source_ip,label\n3,z\n")
+    bronze = readers.ingest_csv_to_bronze_memory(spark, str(tmp_path))
+    found = {(r["source_ip"], r["label"], r["_source_file"]) for r in bronze.collect()}
+    assert found == {(1, "x", "a.csv"), (2, "y", "b.csv"), (3, "z", "c.csv")}
+    assert readers.ingest_csv_to_bronze_memory(spark, str(tmp_path), first_only=True).count() == 1
+
+
+def test_many_csv_files_take_one_scan_and_check_headers(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "HEADER_PROBES", 1)
+    for name in "ab":
+        (tmp_path / f"{name}.csv").write_text("source_ip,label\n1,x\n")
+    assert {r["_source_file"] for r in readers.ingest_csv_to_bronze_memory(spark, str(tmp_path)).collect()} == {"a.csv", "b.csv"}
+    (tmp_path / "c.csv").write_text("label,source_ip\ny,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.ingest_csv_to_bronze_memory(spark, str(tmp_path)).collect()
+
+
+def test_no_csv_files(spark, tmp_path, caplog):
+    with caplog.at_level(logging.WARNING):
+        assert readers.ingest_csv_to_bronze_memory(spark, str(tmp_path)) is None
+        assert readers.ingest_csv_to_bronze(spark, str(tmp_path), str(tmp_path / "out")) is None
+    assert "no CSV file" in caplog.text and not (tmp_path / "out").exists()
+
+
+def test_csv_to_bronze_writes_one_folder_per_file(spark, tmp_path):
+    (tmp_path / "mon day.csv").write_text(CSV)
+    (tmp_path / "tue.csv").write_text("a,b\n1,2\n")
+    readers.ingest_csv_to_bronze(spark, str(tmp_path), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out" / "mon day")).count() == 3
+    assert spark.read.parquet(str(tmp_path / "out" / "tue")).columns == ["a", "b", "_source_file", "_ingestion_ts"]
+
+
+def test_multi_day_prunes_files_by_day(spark, tmp_path, caplog):
+    for day, value in (("Monday", 1), ("Tuesday", 2)):
+        spark.createDataFrame([(value,)], [" Flow Id"]).write.parquet(str(tmp_path / f"Benign-{day}.parquet"))
+    with caplog.at_level(logging.WARNING):
+        bronze = readers.ingest_multi_day(spark, str(tmp_path))
+    assert "expected 5 day files" in caplog.text
+    assert {(r["flow_id"], r["day_of_week"], r["_source_file"]) for r in bronze.collect()} == {
+        (1, "Monday", "Benign-Monday.parquet"),
+        (2, "Tuesday", "Benign-Tuesday.parquet"),
+    }
+    tuesday = bronze.filter(F.col("day_of_week") == "Tuesday")
+    plan = tuesday._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and tuesday.count() == 1
+    assert readers.ingest_multi_day(spark, str(tmp_path / "none")) is None
+
+
+def test_multi_day_refuses_differing_columns(spark, tmp_path):
+    spark.createDataFrame([(1,)], ["a"]).write.parquet(str(tmp_path / "x-Monday.parquet"))
+    spark.createDataFrame([(1, 2)], ["a", "b"]).write.parquet(str(tmp_path / "x-Tuesday.parquet"))
+    with pytest.raises(Exception, match="(?i)column"):
+        readers.ingest_multi_day(spark, str(tmp_path)).collect()
+    assert readers.ingest_multi_day(spark, str(tmp_path), allow_missing=True).count() == 2
+
+
+def test_synthetic_flows_do_not_depend_on_partitions(spark):
+    few = synth.synthesize_flows(spark.range(2000, numPartitions=1))
+    many = synth.synthesize_flows(spark.range(2000, numPartitions=7))
+    assert sorted(few.collect()) == sorted(many.collect())
+    shares = {r["label"]: r["count"] / 2000 for r in few.groupBy("label").count().collect()}
+    assert set(shares) == {label for label, _ in V.SYNTH_LABELS} and abs(shares["BENIGN"] - 0.7) < 0.05
+    span = few.agg(F.min("bytes"), F.max("bytes"), F.min("timestamp"), F.max("timestamp")).first()
+    assert span[0] >= 100 and span[1] <= 100_000 and "2024-01-01" <= span[2] and span[3] < "2024-01-09"
+    assert few.select("source_ip").distinct().count() == 15 and few.select("port").distinct().count() == 7
+
+
+def test_generated_sample_is_a_readable_csv_entry(spark, tmp_path):
+    synth.generate_sample_dataset(spark, str(tmp_path), n_rows=100)
+    bronze = readers.ingest_csv_to_bronze_memory(spark, str(tmp_path))
+    assert bronze.count() == 100
+    assert set(bronze.columns) - {"_source_file", "_ingestion_ts"} == {
+        "source_ip", "destination_ip", "protocol", "port", "bytes", "label", "timestamp"
+    }
+
+
+def test_upsert_keeps_copies_and_null_keys(spark):
+    target = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, v string")
+    source = spark.createDataFrame([(1, "new"), (3, "add"), (None, "e"), (None, "e")], "k int, v string")
+    rows = sorted(map(tuple, tables.upsert(target, source, ["k"]).collect()), key=repr)
+    assert rows == sorted(
+        [(1, "new"), (1, "new"), (2, "c"), (3, "add"), (None, "d"), (None, "e"), (None, "e")], key=repr
+    )
+
+
+@pytest.mark.parametrize("key", [1, 9])
+def test_upsert_refuses_two_source_rows_with_one_key(spark, key):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    source = spark.createDataFrame([(key, "x"), (key, "y")], "k int, v string")
+    with pytest.raises(Exception, match="share one key"):
+        tables.upsert(target, source, ["k"]).collect()
+
+
+def test_upsert_sets_null_values(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    source = spark.createDataFrame([(1, None)], "k int, v string")
+    assert [tuple(r) for r in tables.upsert(target, source, ["k"]).collect()] == [(1, None)]
+
+
+def test_append_aligns_or_refuses(spark, tmp_path):
+    tables.create_schema(spark, "append_check")
+    tables.write_table(spark.createDataFrame([(1, "a")], "n bigint, s string"), "append_check.t", path=str(tmp_path / "t"))
+    tables.append_table(spark.createDataFrame([("b", 2)], "s string, n int"), "append_check.t")
+    with pytest.raises(ValueError, match="extra"):
+        tables.append_table(spark.createDataFrame([(1, 1)], "n int, extra int"), "append_check.t")
+    tables.append_table(spark.createDataFrame([(3, 1)], "n int, extra int"), "append_check.t", drop_extra=True)
+    rows = sorted(map(tuple, spark.read.table("append_check.t").collect()), key=repr)
+    assert rows == [(1, "a"), (2, "b"), (3, None)]
+
+
+def test_append_to_a_partitioned_table(spark, tmp_path):
+    base = spark.createDataFrame([(1, "mon")], "n int, day string")
+    tables.write_table(base, "append_days", path=str(tmp_path / "p"), partition_by=("day",))
+    tables.append_table(spark.createDataFrame([("tue", 2)], "day string, n int"), "append_days")
+    assert {tuple(r) for r in spark.read.table("append_days").collect()} == {(1, "mon"), (2, "tue")}
+
+
+def test_compaction_and_loads(spark, tmp_path):
+    spark.range(1000).repartition(20).write.parquet(str(tmp_path / "many"))
+    for files in (None, 2):
+        packed = tables.compact(spark.read.parquet(str(tmp_path / "many")), str(tmp_path / f"few{files}"), files)
+        assert len(packed.inputFiles()) <= 2 and packed.count() == 1000
+    for load in (1, 2):
+        stamped = spark.range(load).withColumn("_ingestion_ts", F.current_timestamp())
+        tables.append_load(stamped, str(tmp_path / "loads"), load)
+    table = spark.read.parquet(str(tmp_path / "loads"))
+    assert tables.as_of_load(table, 1).count() == 1 and tables.as_of_load(table, 2).count() == 3
+    plan = tables.as_of_load(table, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_load_id" in plan
+    assert {(r["_load_id"], r["row_count"]) for r in tables.load_log(table).collect()} == {(1, 1), (2, 2)}
+
+
+def test_scratch_space_is_the_checkpoint_folder(spark):
+    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    frame = materialize(spark.range(3), "three")
+    assert all(scratch_root(spark) in f for f in frame.inputFiles()) and frame.count() == 3
+    assert create_spark_session("again") is not None
