@@ -24,13 +24,13 @@ def percentage(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(share, digits)
 
 
-def is_nonfinite(column: Column) -> Column:
-    """True for NaN and both infinities (null stays null or false)."""
-    return F.isnan(column) | (F.abs(column) == F.lit(float("inf")))
+def is_finite(column: Column) -> Column:
+    """True for finite numbers, false for NaN (which sorts above infinity) and infinities."""
+    return F.abs(column) < F.lit(float("inf"))
 
 
 def null_if_nonfinite(column: Column) -> Column:
-    return F.when(~is_nonfinite(column), column)
+    return F.when(is_finite(column), column)
 
 
 def zero_filled_float(column: Column, data_type: T.DataType) -> Column:
@@ -38,7 +38,7 @@ def zero_filled_float(column: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.StringType):
         column, data_type = column.try_cast("double"), T.DoubleType()
     if isinstance(data_type, FLOATING):
-        column = F.when(is_nonfinite(column), F.lit(0.0)).otherwise(column)
+        column = null_if_nonfinite(column)
     return F.coalesce(column.cast("float"), F.lit(0.0).cast("float"))
 
 

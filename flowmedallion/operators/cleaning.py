@@ -84,22 +84,22 @@ def _label_spellings() -> dict[str, str]:
     return spellings
 
 
+def _lookup(values: dict[str, str], key: Column) -> Column:
+    """Value of a key in a small fixed table, else null; names the key expression only once."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), key)
+
+
 def canonical_label(label: Column, unify_benign: bool = False) -> Column:
-    """Canonical name of a trimmed label; unknown labels are kept."""
-    result = F.when(F.lit(False), label)
-    for raw, canonical in _label_spellings().items():
-        result = result.when(label == raw, canonical)
-    if unify_benign:
-        result = result.when(F.lower(label) == "benign", "BENIGN")
-    return result.otherwise(label)
+    """Trimmed label under its canonical name; unknown labels are kept."""
+    label = F.trim(label)
+    result = F.coalesce(_lookup(_label_spellings(), label), label)
+    return F.when(F.lower(result) == "benign", "BENIGN").otherwise(result) if unify_benign else result
 
 
 def standardize_labels(df: DataFrame, label_col: str = "label", unify_benign: bool = False) -> DataFrame:
     if label_col not in df.columns:
         return df
-    # trimmed in a projection of its own, so that a row is trimmed once for all comparisons
-    trimmed = df.withColumn(label_col, F.trim(F.col(label_col)))
-    return trimmed.withColumn(label_col, canonical_label(F.col(label_col), unify_benign))
+    return df.withColumn(label_col, canonical_label(F.col(label_col), unify_benign))
 
 
 def drop_constant_columns(
@@ -131,12 +131,9 @@ def silver_is_attack(label: Column) -> Column:
 
 
 def attack_category(label: Column) -> Column:
-    category = F.when(F.lit(False), F.lit(""))
-    for name, labels in V.CATEGORY_LABELS.items():
-        category = category.when(label.isin(*labels), name)
-    for name, prefix in V.CATEGORY_PREFIXES.items():
-        category = category.when(label.like(f"{prefix}%"), name)
-    return category.otherwise(V.CATEGORY_DEFAULT)
+    by_label = {label: name for name, labels in V.CATEGORY_LABELS.items() for label in labels}
+    by_prefix = [F.when(label.like(f"{prefix}%"), name) for name, prefix in V.CATEGORY_PREFIXES.items()]
+    return F.coalesce(_lookup(by_label, label), *by_prefix, F.lit(V.CATEGORY_DEFAULT))
 
 
 def add_derived_columns(df: DataFrame, label_col: str = "label") -> DataFrame:

@@ -66,14 +66,12 @@ def compare(df, connection, sql: str) -> str | None:
 def session(cpus: str = "8"):
     from pyspark.sql import SparkSession
 
-    spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .getOrCreate()
+    from flowmedallion.sources.session import create_spark_session
+
+    SparkSession.builder.config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").config(
+        "spark.sql.shuffle.partitions", cpus
     )
+    spark = create_spark_session("flowmedallion-check", master=f"local[{cpus}]")
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
