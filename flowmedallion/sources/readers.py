@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import logging
 import posixpath
-from urllib.parse import unquote
+from urllib.parse import unquote, urlsplit
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -27,6 +27,17 @@ EXPECTED_DAY_FILES = 5
 HEADER_PROBES = 32
 
 
+def _entry_of(file: str, base: str) -> str:
+    """The entry of a folder that a file belongs to: the file, or the folder it lies in."""
+    decoded = unquote(file)
+    path, root = unquote(urlsplit(file).path), urlsplit(base).path.strip("/")
+    start = path.find(f"/{root}/")
+    if start < 0:
+        return decoded
+    inside = start + len(root) + 2
+    return decoded[: len(decoded) - len(path) + inside] + path[inside:].split("/")[0]
+
+
 def list_entries(spark: SparkSession, path: str, suffix: str) -> list[str]:
     """Sorted full paths of the entries of a folder, on any file system Spark can read."""
     base = path.rstrip("/")
@@ -34,16 +45,7 @@ def list_entries(spark: SparkSession, path: str, suffix: str) -> list[str]:
         files = spark.read.text(f"{base}/*{suffix}").inputFiles()
     except AnalysisException:
         return []
-    found = set()
-    for file in files:
-        name = unquote(file)
-        while not name.endswith(suffix) or posixpath.basename(name).startswith("part-"):
-            parent = posixpath.dirname(name)
-            if parent == name:
-                break
-            name = parent
-        found.add(name)
-    return sorted(found)
+    return sorted({_entry_of(file, base) for file in files})
 
 
 def entry_stem(entry: str, suffix: str) -> str:
@@ -124,7 +126,8 @@ def ingest_csv_to_bronze_memory(
             frames.append(add_ingestion_metadata(frame, posixpath.basename(members[0])))
             continue
         # the entry's name: the last path part that ends with .csv, part files aside
-        source = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+\.csv)(?:/part-[^/]*)?$", 1)
+        file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        source = F.regexp_extract(file, r"([^/]+\.csv)(?:/part-[^/]*)?$", 1)
         tagged = raw.select(*names, source.alias(SOURCE_FILE))
         frame = _bronze_csv(tagged, keep_nonfinite)
         frames.append(frame.withColumn(INGESTION_TS, F.current_timestamp()))

@@ -11,13 +11,17 @@ HUGE_METHOD_BYTES = "8000"
 LOCAL_SCRATCH = "spark.flowmedallion.localScratch"
 
 
-def create_spark_session(app_name: str = "flowmedallion", master: str | None = None) -> SparkSession:
+def create_spark_session(
+    app_name: str = "flowmedallion",
+    master: str | None = None,
+    settings: dict[str, str] | None = None,
+) -> SparkSession:
     """A session with UTC time and adaptive execution; a running session is reused.
 
     Partition counts stay with the cluster's own defaults and AQE.  Wide feature
     projections compile to methods that the JVM's compiler skips above 8000 bytes
     of bytecode; the limit makes Spark split those instead (several times faster).
-    ``master`` is only for local runs.
+    ``master`` is only for local runs; ``settings`` are added last.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -28,6 +32,8 @@ def create_spark_session(app_name: str = "flowmedallion", master: str | None = N
     )
     if master:
         builder = builder.master(master)
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 

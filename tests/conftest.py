@@ -11,20 +11,18 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
+    from flowmedallion.sources.session import create_spark_session
 
     scratch = tmp_path_factory.mktemp("spark")
-    session = (
-        SparkSession.builder.master("local[8]")
-        .appName("flowmedallion-tests")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", str(scratch / "checkpoints"))
-        .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
-        .getOrCreate()
-    )
+    local = {
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": "8g",
+        "spark.sql.shuffle.partitions": "4",
+        "spark.default.parallelism": "4",
+        "spark.checkpoint.dir": str(scratch / "checkpoints"),
+        "spark.sql.warehouse.dir": str(scratch / "warehouse"),
+    }
+    session = create_spark_session("flowmedallion-tests", "local[8]", local)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

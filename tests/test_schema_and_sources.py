@@ -85,6 +85,14 @@ def test_csv_files_with_other_column_order_match_by_name(spark, tmp_path):
     assert readers.ingest_csv_to_bronze_memory(spark, str(tmp_path), first_only=True).count() == 1
 
 
+def test_odd_file_names(spark, tmp_path):
+    for name in ("part-0.csv", "mon day+1.csv"):
+        (tmp_path / name).write_text("source_ip,label\n1,x\n")
+    bronze = readers.ingest_csv_to_bronze_memory(spark, str(tmp_path))
+    assert {r["_source_file"] for r in bronze.collect()} == {"part-0.csv", "mon day+1.csv"}
+    assert [readers.entry_stem(e, ".csv") for e in readers.list_entries(spark, str(tmp_path), ".csv")] == ["mon day+1", "part-0"]
+
+
 def test_many_csv_files_take_one_scan_and_check_headers(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(readers, "HEADER_PROBES", 1)
     for name in "ab":

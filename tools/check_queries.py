@@ -64,14 +64,14 @@ def compare(df, connection, sql: str) -> str | None:
 
 
 def session(cpus: str = "8"):
-    from pyspark.sql import SparkSession
-
     from flowmedallion.sources.session import create_spark_session
 
-    SparkSession.builder.config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").config(
-        "spark.sql.shuffle.partitions", cpus
-    )
-    spark = create_spark_session("flowmedallion-check", master=f"local[{cpus}]")
+    local = {
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": "8g",
+        "spark.sql.shuffle.partitions": cpus,
+    }
+    spark = create_spark_session("flowmedallion-check", f"local[{cpus}]", local)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
