@@ -204,7 +204,9 @@ def test_few_jobs_and_filters_at_the_scan(spark, bronze, tmp_path, jobs):
     with jobs:
         silver = clean_bronze_to_silver(table)
     assert jobs.count <= 3  # a look at the first rows, and one aggregate with its map and reduce side
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")  # print all pushed filters
     plan = silver._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     for pushed in ("IsNotNull(label)", "GreaterThanOrEqual(bytes,0)", "LessThanOrEqual(port,65535)"):
         assert pushed in plan
     assert plan.count("Exchange hashpartitioning") == 1
