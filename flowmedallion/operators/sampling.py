@@ -76,9 +76,10 @@ def stratified_split_exact(
 ) -> DataFrame:
     """Tag exactly ``round(share * rows of the class)`` rows of each class as ``test``.
 
-    The rows of a class with the smallest digests form its test part.  No class
+    The rows of a class with the smallest digests form its test part (exact when
+    the key columns identify a row; copies of a key stay together).  No class
     is ever sorted as a whole: a histogram over 65,536 digest prefixes finds the
-    prefix in which the quota ends, only rows with that prefix are ranked, and
+    prefix in which the quota ends, only keys with that prefix are ranked, and
     the resulting cut-off digest (one row per class, hence the broadcast) is
     compared with every row.
     """
@@ -103,11 +104,14 @@ def stratified_split_exact(
         .filter(F.col("_quota").between(F.col("_before") + 1, F.col("_before") + F.col("_rows")))
         .select("_class", "_bucket", (F.col("_quota") - F.col("_before")).alias("_place"))
     )
-    place = F.row_number().over(Window.partitionBy("_class").orderBy("_digest"))
+    # copies of a key share a digest and collapse here, so that a hot key is one row to rank
+    through = F.sum("_rows").over(Window.partitionBy("_class").orderBy("_digest"))
     cuts = (
         drawn.join(F.broadcast(edges), ["_class", "_bucket"])
-        .withColumn("_rank", place)
-        .filter(F.col("_rank") == F.col("_place"))
+        .groupBy("_class", "_digest")
+        .agg(F.count("*").alias("_rows"), F.first("_place").alias("_place"))
+        .withColumn("_through", through)
+        .filter(F.col("_place").between(F.col("_through") - F.col("_rows") + 1, F.col("_through")))
         .select(F.col("_class").alias("_cut_class"), F.col("_digest").alias("_cut"))
     )
     is_test = F.coalesce(digest <= F.col("_cut"), F.lit(False))

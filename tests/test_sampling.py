@@ -57,6 +57,21 @@ def test_exact_split_of_small_and_missing_classes(spark):
     assert S.stratified_split_exact(df.limit(0), key_cols=["id"]).count() == 0
 
 
+def test_exact_split_with_a_hot_key(spark):
+    """One key holds a third of all rows: its copies stay together and no row is lost."""
+    df = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("key"), (F.col("id") % 2).cast("int").alias("is_attack")
+    )
+    split = S.stratified_split_exact(df, key_cols=["key"])
+    assert split.count() == 9000
+    assert split.filter("key = -1").select("is_attack", "split").distinct().count() == 2
+    for value in (0, 1):
+        keys = [r["key"] for r in df.filter(F.col("is_attack") == value).collect()]
+        cut = sorted(digest(k, 42) for k in keys)[899]
+        test = [r["key"] for r in split.filter(f"is_attack = {value} and split = 'test'").collect()]
+        assert sorted(test) == sorted(k for k in keys if digest(k, 42) <= cut)
+
+
 def test_sample_takes_the_same_fraction_of_each_class(spark):
     df = rows(spark)
     sample = S.stratified_sample(df, key_cols=["id"], sample_size=5000)
