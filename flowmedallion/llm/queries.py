@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmedallion.llm.pieces import encode_texts
+from flowmedallion.llm.quality import BASE, fit_rules, judge
 from flowmedallion.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
 
@@ -24,3 +25,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op1_quality_rules")
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = fit_rules(docs, table(spark, sf_dir, "labels"))
+    return judge(docs, rules).select("doc_id", *BASE, "base_failed", "kept", "rule")
