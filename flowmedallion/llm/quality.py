@@ -28,7 +28,7 @@ from flowmedallion.llm.batches import append_columns
 
 FIT_ROWS = 20_000
 """Most labelled documents that are fitted on: those with the smallest id hashes."""
-THRESHOLDS = 64
+THRESHOLDS = 256
 """Cut points tried for each statistic, at equal steps of rank."""
 PRECISION = 0.9
 """Least share of bad documents that a rule must cover among the pruning rows."""
@@ -228,6 +228,7 @@ def fit_rules(
     quantities = shares()
     rows = (
         with_statistics(known)
+        .filter(~base_failed())  # those are decided already
         .groupBy("doc_id", "_good")
         .agg(*[F.max(F.struct(*STATISTICS)).alias("s")])  # repeated ids: one row each
         .select("doc_id", "_good", "s.*")
