@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowmedallion.llm.pieces import encode_texts
 from flowmedallion.llm.quality import BASE, fit_rules, judge
+from flowmedallion.llm.simhash import near_duplicate_classes
 from flowmedallion.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
 
@@ -32,3 +33,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = fit_rules(docs, table(spark, sf_dir, "labels"))
     return judge(docs, rules).select("doc_id", *BASE, "base_failed", "kept", "rule")
+
+
+@query("op5_simhash_near_dedup")
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicate_classes(docs).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
