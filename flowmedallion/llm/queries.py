@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowmedallion.llm.language import held_out, learn_languages, with_languages
 from flowmedallion.llm.pieces import encode_texts
 from flowmedallion.llm.quality import BASE, fit_rules, judge
 from flowmedallion.llm.simhash import near_duplicate_classes
@@ -41,3 +42,12 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(docs).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = learn_languages(docs.filter(~held_out() & F.col("doc_id").isNotNull()))
+    return with_languages(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score", "langs"
+    )
