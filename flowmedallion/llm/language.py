@@ -193,7 +193,7 @@ def with_languages(df: DataFrame, model: Languages, text: str = "text") -> DataF
     return append_columns(df, text, "lang_pred string, score double, langs map<string,double>", make)
 
 
-def keep_known(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", least: float = 0.5) -> DataFrame:
+def keep_known(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", least: float = 0.4) -> DataFrame:
     """The documents in which one language holds at least the share ``least``, with the columns they had.
 
     Learns from the labelled documents of the same frame whose id is not held out.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowmedallion.llm.decontaminate import contained_items
 from flowmedallion.llm.language import held_out, learn_languages, with_languages
 from flowmedallion.llm.pieces import encode_texts
 from flowmedallion.llm.quality import BASE, fit_rules, judge
@@ -51,3 +52,25 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_languages(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out().alias("held_out"), "lang_pred", "score", "langs"
     )
+
+
+OP7_SQL = r"""
+with d as (
+  select distinct doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda w: w <> '') as w from documents
+), i as (
+  select item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda w: w <> '') as w from benchmark
+), ds as (
+  select distinct doc_id, array_to_string(w[p:p+4], ' ') as s from (select doc_id, w, unnest(range(1, len(w) - 3)) as p from d)
+), js as (
+  select distinct item_id, array_to_string(w[p:p+4], ' ') as s from (select item_id, w, unnest(range(1, len(w) - 3)) as p from i)
+), n as (select item_id, count(*) as n_shingles from js group by 1)
+select doc_id, item_id, n_shingles, count(*) as n_found, count(*) / n_shingles as containment
+from js join ds using (s) join n using (item_id)
+group by doc_id, item_id, n_shingles having 10 * count(*) >= 8 * n_shingles
+"""
+
+
+@query("op7_benchmark_decontamination", OP7_SQL)
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return contained_items(docs, table(spark, sf_dir, "benchmark")).drop("key")
