@@ -9,6 +9,7 @@ from flowmedallion.llm.decontaminate import contained_items
 from flowmedallion.llm.language import held_out, learn_languages, with_languages
 from flowmedallion.llm.pieces import encode_texts
 from flowmedallion.llm.quality import BASE, fit_rules, judge
+from flowmedallion.llm.sharding import shard_rows
 from flowmedallion.llm.simhash import near_duplicate_classes
 from flowmedallion.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
@@ -74,3 +75,11 @@ group by doc_id, item_id, n_shingles having 10 * count(*) >= 8 * n_shingles
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return contained_items(docs, table(spark, sf_dir, "benchmark")).drop("key")
+
+
+@query("op10_sharding")
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return shard_rows(docs).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
