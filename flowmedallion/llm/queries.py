@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowmedallion.llm import pitman_yor
 from flowmedallion.llm.decontaminate import contained_items
 from flowmedallion.llm.language import held_out, learn_languages, with_languages
 from flowmedallion.llm.pieces import encode_texts
@@ -83,3 +84,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(docs).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query("op4_pitman_yor_score")
+def op4_pitman_yor_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pitman_yor.held_out()
+    model = pitman_yor.fit(docs.filter(~out & F.col("doc_id").isNotNull()).select("text"))
+    return pitman_yor.score(docs, model, [F.col("doc_id"), out.alias("held_out")])
