@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowmedallion.llm import pitman_yor
 from flowmedallion.llm.decontaminate import contained_items
+from flowmedallion.llm.html_text import learn_weights, with_main_text
 from flowmedallion.llm.language import held_out, learn_languages, with_languages
 from flowmedallion.llm.pieces import encode_texts
 from flowmedallion.llm.quality import BASE, fit_rules, judge
@@ -92,3 +93,10 @@ def op4_pitman_yor_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pitman_yor.held_out()
     model = pitman_yor.fit(docs.filter(~out & F.col("doc_id").isNotNull()).select("text"))
     return pitman_yor.score(docs, model, [F.col("doc_id"), out.alias("held_out")])
+
+
+@query("op3_html_extraction")
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = with_main_text(pages, learn_weights(pages)).drop("html")
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
