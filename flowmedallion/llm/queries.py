@@ -13,6 +13,7 @@ from flowmedallion.llm.pieces import encode_texts
 from flowmedallion.llm.quality import BASE, fit_rules, judge
 from flowmedallion.llm.sharding import shard_rows
 from flowmedallion.llm.simhash import near_duplicate_classes
+from flowmedallion.llm.url_rules import judge_urls, page_links
 from flowmedallion.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
 
@@ -100,3 +101,53 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = with_main_text(pages, learn_weights(pages)).drop("html")
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+URL_RULES = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/"),
+]
+
+OP9_SQL = r"""
+with recursive rules(told, rule_host, rule_path) as (
+  values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+         ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), found as (
+  select page_id, url,
+    regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) as canonical,
+    regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) as refresh,
+    translate(regexp_extract(url, '^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as site,
+    regexp_extract(url, '^(.*?)://', 1) as scheme, regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1) as place
+  from pages
+), links as (
+  select url, case when l like '%://%' then l when l like '//%' then scheme || ':' || l when l like '/%' then scheme || '://' || site || l
+    else scheme || '://' || site || case when place like '/%' then regexp_replace(place, '[^/]*$', '') else '/' end || l end as target
+  from (select url, scheme, site, place, replace(unnest([canonical, refresh]), '&amp;', '&') as l from found) where l <> ''
+), addresses as (
+  select url, translate(regexp_extract(url, '^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1) as path, regexp_extract(url, '^.*?://[^/?#]*([^#]*)', 1) as rest
+  from (select url from pages union select target from links)
+), nodes as (
+  select url, host, path, case when host <> '' then host || case when rest like '/%' then '' else '/' end || rest end as node,
+    (select arg_max(struct_pack(rule := rule_host || rule_path, told := told), length(rule_host || rule_path)) from rules
+     where (host = rule_host or host like '%.' || rule_host) and starts_with(path, rule_path)) as r
+  from addresses
+), ties as (
+  select a.node as a, b.node as b from links join nodes a on links.url = a.url join nodes b on links.target = b.url
+  where a.node is not null and b.node is not null
+), reach(a, b) as (
+  select node, node from nodes where node is not null
+  union
+  select reach.a, t.b from reach join (select a, b from ties union select b, a from ties) t on reach.b = t.a
+), shared as (
+  select a as node, min(r.told) as told from reach join nodes on reach.b = nodes.node where r is not null group by 1
+)
+select page_id, coalesce(n.host, '') as host, coalesce(n.path, '') as path, n.r.rule as rule, coalesce(n.r.told, shared.told, 'allow') as verdict
+from pages left join nodes n on pages.url = n.url left join shared on n.node = shared.node
+"""
+
+
+@query("op9_url_filters", OP9_SQL)
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return judge_urls(pages, page_links(pages), URL_RULES)
