@@ -36,6 +36,8 @@ PRIOR = 0.5
 SMOOTH = 0.5
 WORDS_KEPT = 500_000
 """Words whose likelihoods a task remembers before it starts anew."""
+BLOCK_WORDS = 1 << 15
+"""Documents are estimated together until they have so many words."""
 UNKNOWN = "und"
 
 letters = re.compile(r"[^\W\d_]+").findall
@@ -122,42 +124,46 @@ class Words(dict):
         return at
 
 
-def mix(likely: np.ndarray, doc: np.ndarray, docs: int, allowed: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shares (docs x languages) and log likelihoods by EM over words; ``doc`` is each word's document."""
-    words = np.bincount(doc, minlength=docs)
-    shares = allowed * start
-    shares = shares / shares.sum(axis=1, keepdims=True)
+def mix(likely: np.ndarray, sizes: np.ndarray, allowed: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares (languages x documents) and log likelihoods by EM over words.
+
+    ``likely`` is languages x words, document after document; ``sizes`` (all above 0) are the
+    documents' numbers of words.
+    """
+    first = np.cumsum(sizes) - sizes
+    shares = allowed * start[:, None]
+    shares /= shares.sum(axis=0)
     prior = PRIOR * allowed
     for _ in range(ROUNDS):
-        joint = likely * shares[doc]
-        joint /= joint.sum(axis=1, keepdims=True) + 1e-300
-        mass = np.stack([np.bincount(doc, joint[:, i], minlength=docs) for i in range(likely.shape[1])], axis=1) + prior
-        shares = mass / mass.sum(axis=1, keepdims=True)
-    log = np.bincount(doc, np.log((likely * shares[doc]).sum(axis=1) + 1e-300), minlength=docs)
-    return shares, np.where(words > 0, log, 0.0)
-
-
-def choose(likely: np.ndarray, doc: np.ndarray, docs: int, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shares of the chosen language sets (0 outside), and shares over all languages."""
-    n = likely.shape[1]
-    full, _ = mix(likely, doc, docs, np.ones((docs, n)), start)
-    rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1)
-    penalty = np.log(np.maximum(np.bincount(doc, minlength=docs), 1)) / 2
-    best, chosen = mix(likely, doc, docs, (rank < 1).astype(float), start)
-    worth = chosen.copy()
+        joint = likely * np.repeat(shares, sizes, axis=1)
+        joint /= joint.sum(axis=0) + 1e-300
+        shares = np.add.reduceat(joint, first, axis=1) + prior
+        shares /= shares.sum(axis=0)
+    log = np.log((likely * np.repeat(shares, sizes, axis=1)).sum(axis=0) + 1e-300)
+    return shares, np.add.reduceat(log, first)
+
+
+def choose(likely: np.ndarray, sizes: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of the chosen language sets (0 outside), and shares over all languages; languages x documents."""
+    n, docs = len(start), len(sizes)
+    full, log_full = mix(likely, sizes, np.ones((n, docs)), start)
+    rank = np.argsort(np.argsort(-full, axis=0, kind="stable"), axis=0)
+    penalty = np.log(sizes) / 2
+    best = (rank < 1).astype(float)
+    first = np.cumsum(sizes) - sizes
+    worth = np.add.reduceat(np.log((likely * np.repeat(best, sizes, axis=1)).sum(axis=0) + 1e-300), first)
     going = np.arange(docs)
     for size in range(2, n + 1):
-        inside = np.zeros(docs, dtype=bool)
-        inside[going] = True
-        mine = inside[doc]
-        number = np.cumsum(inside) - 1
-        shares, log = mix(likely[mine], number[doc[mine]], len(going), (rank[going] < size).astype(float), start)
-        gain = log - (size - 1) * penalty[going]
-        better = gain > worth[going]
-        going, shares = going[better], shares[better]
-        best[going], worth[going] = shares, gain[better]
+        # no set can be likelier than about all languages together, so who could not win then is done
+        going = going[log_full[going] + 1.0 - (size - 1) * penalty[going] > worth[going]]
         if not len(going):
             break
+        mine = np.repeat(np.isin(np.arange(docs), going), sizes)
+        shares, log = mix(likely[:, mine], sizes[going], (rank[:, going] < size).astype(float), start)
+        gain = log - (size - 1) * penalty[going]
+        better = gain > worth[going]
+        going = going[better]
+        best[:, going], worth[going] = shares[:, better], gain[better]
     return best, full
 
 
@@ -170,22 +176,34 @@ def with_languages(df: DataFrame, model: Languages, text: str = "text") -> DataF
         kept = Words(shared.value)
 
         def work(texts: list[bytes | None]) -> list[pa.Array]:
+            pred, score, sets = [], [], []
             at: list[int] = []
-            sizes = []
+            sizes: list[int] = []
+
+            def settle() -> None:
+                words = np.array(sizes, dtype=np.int64)
+                some = words > 0
+                if some.any():
+                    likely = np.ascontiguousarray(kept.rows[np.array(at, dtype=np.int64)].T)
+                    best, full = choose(likely, words[some], start)
+                    top = best.argmax(axis=0)
+                place = np.cumsum(some) - 1
+                for i, own in zip(place.tolist(), some.tolist(), strict=True):
+                    pred.append(names[top[i]] if own else UNKNOWN)
+                    score.append(float(full[top[i], i]) if own else 0.0)
+                    sets.append([(names[j], float(best[j, i])) for j in np.nonzero(best[:, i])[0]] if own else [])
+                at.clear()
+                sizes.clear()
+
             for data in texts:
                 words = letters(data.decode().lower()) if data else ()
                 at.extend(map(kept.__getitem__, words))
                 sizes.append(len(words))
-            doc = np.repeat(np.arange(len(texts)), sizes)
-            best, full = choose(kept.rows[np.array(at, dtype=np.int64)], doc, len(texts), start)
-            top = best.argmax(axis=1)
+                if len(at) >= BLOCK_WORDS:
+                    settle()
+            settle()
             if len(kept) > WORDS_KEPT:
                 kept.clear()
-            pred, score, sets = [], [], []
-            for i, size in enumerate(sizes):
-                pred.append(names[top[i]] if size else UNKNOWN)
-                score.append(float(full[i, top[i]]) if size else 0.0)
-                sets.append([(names[j], float(best[i, j])) for j in np.nonzero(best[i])[0]] if size else [])
             return [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(sets, pa.map_(pa.string(), pa.float64()))]
 
         return work
