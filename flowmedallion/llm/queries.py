@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmedallion.llm import pitman_yor
+from flowmedallion.llm import licenses, pitman_yor
 from flowmedallion.llm.decontaminate import contained_items
 from flowmedallion.llm.html_text import learn_weights, with_main_text
 from flowmedallion.llm.language import held_out, learn_languages, with_languages
@@ -151,3 +151,8 @@ from pages left join nodes n on pages.url = n.url left join shared on n.node = s
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return judge_urls(pages, page_links(pages), URL_RULES)
+
+
+@query("op8_license_scan", licenses.scan_sql())
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
