@@ -92,5 +92,7 @@ def contained_items(
 
 def keep_clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that contain no test item, with the columns they had."""
-    leaks = contained_items(docs, items, doc_id, text).select(F.col("key").alias("_leak")).distinct()
-    return docs.join(leaks, row_key(doc_id, text) == F.col("_leak"), "left_anti")
+    leaks = contained_items(docs, items, doc_id, text).select("key").distinct()
+    quoted = [F.col(f"`{c}`") for c in docs.columns]
+    packed = docs.select(F.struct(*quoted).alias("row"), row_key(doc_id, text).alias("key"))
+    return packed.join(leaks, "key", "left_anti").select("row.*")

@@ -10,7 +10,8 @@ Bayesian information criterion); the shares of the chosen set are estimated anew
 
 ``lang_pred`` is the language with the largest share in the set (the first in order of name
 among equals), ``score`` its share when all languages take part, near 1 / languages for a word
-or two of unclear origin.  Texts that are null or hold no letter are ``und`` with score 0.
+or two of unclear origin.  Texts that are null or hold no letter are ``und`` with score 0; so
+is every text where no labelled document taught a language.
 """
 
 from __future__ import annotations
@@ -69,8 +70,10 @@ def learn_languages(docs: DataFrame, text: str = "text", lang: str = "lang", fit
         F.col(lang).alias("lang"), F.col(text).alias("text")
     )
     found = labelled.groupBy("lang").count().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
-    if not found or len(found) > MOST_LANGUAGES:
-        raise ValueError(f"between 1 and {MOST_LANGUAGES} languages can be learned, not {len(found)}")
+    if not found:
+        return Languages((), np.empty(0), np.empty((BUCKETS, 0)))
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"at most {MOST_LANGUAGES} languages can be learned")
     names = [r["lang"] for r in found]
     total = sum(r["count"] for r in found)
     place = F.create_map(*[F.lit(x) for i, name in enumerate(names) for x in (name, i)])
@@ -196,7 +199,7 @@ def with_languages(df: DataFrame, model: Languages, text: str = "text") -> DataF
                 sizes.clear()
 
             for data in texts:
-                words = letters(data.decode().lower()) if data else ()
+                words = letters(data.decode().lower()) if data and names else ()
                 at.extend(map(kept.__getitem__, words))
                 sizes.append(len(words))
                 if len(at) >= BLOCK_WORDS:
@@ -214,9 +217,12 @@ def with_languages(df: DataFrame, model: Languages, text: str = "text") -> DataF
 def keep_known(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", least: float = 0.4) -> DataFrame:
     """The documents in which one language holds at least the share ``least``, with the columns they had.
 
-    Learns from the labelled documents of the same frame whose id is not held out.
+    Learns from the labelled documents of the same frame whose id is not held out; without any,
+    nothing is judged and every document stays.
     """
     model = learn_languages(docs.filter(~held_out(doc_id) & F.col(doc_id).isNotNull()), text, lang)
+    if not model.names:
+        return docs
     quoted = [F.col(f"`{c}`") for c in docs.columns]
     packed = docs.select(F.struct(*quoted).alias("row"), F.col(f"`{text}`").alias("text"))
     return with_languages(packed, model).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")

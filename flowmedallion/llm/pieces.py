@@ -63,6 +63,7 @@ class Pieces(dict):
         self.unknown = self.library.unk_id()
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == kinds.BYTE}
         self.surface = [p.piece.replace(MARK, " ").encode() if p.type == kinds.NORMAL else b"" for p in model.pieces]
+        self.marked = {i for piece, i in self.ids.items() if piece.startswith(MARK)}
         for value, i in self.bytes.items():
             self.surface[i] = bytes([value])
         self.surface[self.unknown] = model.trainer_spec.unk_surface.encode()
@@ -141,7 +142,9 @@ class Pieces(dict):
         ids = np.frombuffer(packed, dtype="<u4").tolist()
         data = b"".join(map(self.surface.__getitem__, ids))
         if self.prefix and data[:1] == b" ":
-            data = data[1:]
+            first = next(i for i in ids if self.surface[i])
+            if first in self.marked:  # only a piece's word mark is the prefix
+                data = data[1:]
         try:
             return data.decode()
         except UnicodeDecodeError:

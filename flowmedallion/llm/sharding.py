@@ -96,6 +96,7 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", te
     parted, _ = store(
         rows.join(cut, "grp", "left")
         .withColumn("piece", F.coalesce(F.pmod(F.xxhash64("at"), F.col("pieces")), F.lit(0)).cast("int"))
+        .repartition("grp", "piece")  # the join above leaves rows by group, pieces of one together
         .withColumn("number", F.row_number().over(Window.partitionBy("grp", "piece").orderBy("doc_id", "at")))
         .drop("pieces", "at"),
         "parted",

@@ -1,0 +1,57 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+import sentencepiece
+
+from flowmedallion.llm.pieces import Pieces, encode_texts
+from flowmedallion.llm.queries import QUERIES, piece_model
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=piece_model())
+
+
+def test_random_texts_equal_library(library):
+    model, draw = Pieces(piece_model()), random.Random(5)
+    signs = "ab the▁  \n\t\0é日本🎉́ñ<s>0x1.; 　 "
+    for _ in range(3000):
+        text = "".join(draw.choice(signs) for _ in range(draw.randint(0, 40)))
+        ids = model.encode(text)
+        expected = [1, *library.encode(text), 2]
+        assert np.frombuffer(ids, "<u4").tolist() == expected
+        assert model.decode(ids) == library.decode(expected)
+    model.check()
+
+
+def test_whole_table_equals_library(spark, sf_dir, library):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    for r in QUERIES["op6_sentencepiece"](spark, sf_dir).collect():
+        ids = np.array([1, *library.encode(docs[r.doc_id]), 2], dtype="<u4")
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(ids.tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids.tolist()).encode()).hexdigest()
+
+
+def test_odd_rows(odd_docs, no_docs, library):
+    out = encode_texts(odd_docs, piece_model())
+    assert sorted(out.columns) == sorted([*odd_docs.columns, "decoded"])  # ids is replaced
+    for r in out.collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == [1, *library.encode(r.text or ""), 2]
+        assert r.decoded == (r.text or "").replace("▁", " ")
+    assert encode_texts(no_docs, piece_model()).count() == 0
+
+
+def test_broken_bytes_decode_like_library(library):
+    model = Pieces(piece_model())
+    for ids in ([3 + 0xE3, 264, 3 + 0x81], [3 + 0xF0, 3 + 0x9F], [0, 264]):
+        assert model.decode(np.array(ids, dtype="<u4").tobytes()) == library.decode(ids)
+
+
+def test_another_result_than_the_library_raises():
+    model = Pieces(piece_model())
+    model.scores = {}
+    model.encode("the words")
+    with pytest.raises(AssertionError):
+        model.check()
