@@ -156,8 +156,8 @@ def kinds(tokens: list[Token]) -> Iterator[tuple[str, int]]:
             yield (f"{kind} {name}" if name in BLOCKS or name in INLINE else f"{kind} other"), 1
 
 
-DEFAULT = {"word": 1.0, "link": -0.5}
-TAG = -2.0
+DEFAULT = {"word": 1.0, "link": -0.5, "tag": -0.5}
+"""Weights where no page is labelled; a tag without a weight of its own costs half a word."""
 
 
 def weights_of(inside: Counter, outside: Counter) -> dict[str, float]:
@@ -171,6 +171,7 @@ def weights_of(inside: Counter, outside: Counter) -> dict[str, float]:
             out[feature] = min(1.0, max(-3.0, odds))
         else:
             out[feature] = min(-0.25, max(-6.0, odds))
+    out["tag"] = -0.5 * out["word"]
     return out
 
 
@@ -189,7 +190,7 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 def main_text(page: str, weights: dict[str, float]) -> str:
     tokens = read(page)
     keep, homes = content(tokens)
-    scores = [weights.get(f, TAG) * n if k else 0.0 for (f, n), k in zip(kinds(tokens), keep, strict=True)]
+    scores = [weights.get(f, weights["tag"]) * n if k else 0.0 for (f, n), k in zip(kinds(tokens), keep, strict=True)]
     start, end = best_run(scores)
     whole = sum(s for s in scores[start:end] if s > 0)
     around = [
@@ -212,7 +213,7 @@ def main_text(page: str, weights: dict[str, float]) -> str:
 
 
 def learn_weights(pages: DataFrame, page: str = "html", fit_pages: int = FIT_PAGES) -> dict[str, float]:
-    """Weights from pages with exactly one article element; without any, DEFAULT and TAG."""
+    """Weights from pages with exactly one article element; without any, DEFAULT."""
     texts = pages.filter(f"{page} is not null").select(F.col(page).alias("html"))
     share = min(1.0, fit_pages / max(1, texts.count()))
     chosen = texts.filter(F.pmod(F.xxhash64("html"), F.lit(1 << 30)) < int(share * (1 << 30)))
