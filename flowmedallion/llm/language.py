@@ -101,10 +101,10 @@ def learn_languages(docs: DataFrame, text: str = "text", lang: str = "lang", fit
         )
 
     rows = (
-        chosen.mapInArrow(count, "place int, bucket int, n long").groupBy("place", "bucket").agg(F.sum("n").alias("n")).toPandas()
+        chosen.mapInArrow(count, "place int, bucket int, n long").groupBy("place", "bucket").agg(F.sum("n").alias("n")).toArrow()
     )
     counts = np.zeros((BUCKETS, len(names)))
-    counts[rows["bucket"].to_numpy(dtype=int), rows["place"].to_numpy(dtype=int)] = rows["n"].to_numpy()
+    counts[rows["bucket"].to_numpy(), rows["place"].to_numpy()] = rows["n"].to_numpy()
     logs = np.log((counts + SMOOTH) / (counts.sum(axis=0) + SMOOTH * BUCKETS))
     return Languages(tuple(names), np.array([r["count"] / total for r in found]), logs)
 

@@ -235,7 +235,8 @@ def fit_rules(
         .select("doc_id", "_good", *[column.alias(name) for name, column in quantities.items()])
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(fit_rows)
-        .toPandas()
+        .toArrow()
+        .to_pandas()
     )
     return learn(rows[[*quantities]].to_numpy(dtype=float), (rows["_good"] == 0).to_numpy(), [*quantities], precision)
 
