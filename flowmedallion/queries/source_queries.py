@@ -98,9 +98,10 @@ def _write_day_files(spark, sf) -> str:
     """One Parquet entry per day, as a capture would arrive."""
     path = scratch_path(spark, "days")
     flows = A.flows(spark, sf)
-    raw = flows.drop("_source_file")
-    for day in _DAYS:
-        raw.filter(F.col("day_of_week") == day).drop("day_of_week").write.parquet(f"{path}/flows-{day}.parquet")
+    raw = flows.drop("_source_file").withColumn("_day", F.col("day_of_week")).drop("day_of_week")
+    raw.hint("rebalance", "_day").write.partitionBy("_day").parquet(f"{path}/all")
+    for day in _DAYS:  # names only: the rows were written once
+        tables.rename_path(spark, f"{path}/all/_day={day}", f"{path}/flows-{day}.parquet")
     return path
 
 
@@ -120,30 +121,30 @@ def _draw_sql(name: str) -> str:
 @query(
     "synth_flows",
     f"""SELECT event_id,
-          CASE WHEN s < 10 THEN '192.168.1.' || CAST(s + 1 AS VARCHAR) ELSE '10.0.0.' || CAST(s - 9 AS VARCHAR) END AS source_ip,
-          (['8.8.8.8', '1.1.1.1', '8.8.4.4', '9.9.9.9'])[1 + CAST(floor({_draw_sql("destination_ip")} * 4) AS INTEGER)] AS destination_ip,
-          (['TCP', 'UDP', 'ICMP'])[1 + CAST(floor({_draw_sql("protocol")} * 3) AS INTEGER)] AS protocol,
-          ([22, 80, 443, 53, 8080, 25, 3389])[1 + CAST(floor({_draw_sql("port")} * 7) AS INTEGER)] AS port,
-          CAST(floor({_draw_sql("bytes")} * 99901) + 100 AS BIGINT) AS bytes,
-          CASE WHEN l < 0.70 THEN 'BENIGN' WHEN l < 0.76 THEN 'DoS-Hulk' WHEN l < 0.82 THEN 'DoS-GoldenEye'
-               WHEN l < 0.88 THEN 'PortScan' WHEN l < 0.94 THEN 'DDoS' ELSE 'Brute Force' END AS label,
-          strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(CAST(floor({_draw_sql("timestamp")} * 604801) AS BIGINT)),
+          '198.51.100.' || CAST(20 + CAST(floor({_draw_sql("source_ip")} * 24) AS INTEGER) AS VARCHAR) AS source_ip,
+          '203.0.113.' || CAST(1 + CAST(floor({_draw_sql("destination_ip")} * 7) AS INTEGER) AS VARCHAR) AS destination_ip,
+          (['UDP', 'TCP', 'ICMP'])[1 + CAST(floor({_draw_sql("protocol")} * 3) AS INTEGER)] AS protocol,
+          ([123, 389, 993, 1883, 5060, 5432, 8883, 27017])[1 + CAST(floor({_draw_sql("port")} * 8) AS INTEGER)] AS port,
+          CAST(floor({_draw_sql("bytes")} * 64961) + 40 AS BIGINT) AS bytes,
+          CASE WHEN l < 0.65 THEN 'BENIGN' WHEN l < 0.80 THEN 'PortScan' WHEN l < 0.90 THEN 'DDoS'
+               WHEN l < 0.95 THEN 'Bot' ELSE 'DoS-Slowloris' END AS label,
+          strftime(TIMESTAMP '2031-05-04 06:00:00' + to_seconds(CAST(floor({_draw_sql("timestamp")} * 259201) AS BIGINT)),
                    '%Y-%m-%dT%H:%M:%S') AS "timestamp"
-        FROM (SELECT event_id, CAST(floor({_draw_sql("source_ip")} * 15) AS INTEGER) AS s, {_draw_sql("label")} AS l FROM events)""",
+        FROM (SELECT event_id, {_draw_sql("label")} AS l FROM events)""",
 )
 def _synth_flows(spark, sf):
     """One synthetic flow per event."""
     return synthesize_flows(A.table(spark, sf, "events"), id_col="event_id")
 
 
-@query("table_roundtrip", A.on_flows(f"SELECT {', '.join(_PLAIN)} FROM flows"))
+@query("table_roundtrip", A.on_flows(f"SELECT {', '.join(_PLAIN)}, {_TS_SQL} AS ts FROM flows"))
 def _table_roundtrip(spark, sf):
     """The second overwrite has another schema than the first."""
     name, path = "flowmedallion_roundtrip", scratch_path(spark, "table")
-    flows = A.flows(spark, sf).drop("timestamp")
+    flows = A.flows(spark, sf)
     tables.write_table(flows.select("source_ip"), name, path=f"{path}/first")
     tables.write_table(flows, name, path=f"{path}/second", partition_by=("day_of_week",))
-    return spark.read.table(name)
+    return _text_time(spark.read.table(name))
 
 
 @query(
@@ -163,31 +164,53 @@ def _table_append(spark, sf):
     return spark.read.table(name)
 
 
+_UPSERTED = f"""SELECT event_id, user_id, event_type, props, {A.text_sql('ts')} AS ts,
+                   CASE WHEN event_type IN ('click', 'error') THEN value + 1000 ELSE value END AS value FROM events"""
+
+
+def _upsert_sides(spark, sf):
+    events = A.table(spark, sf, "events")
+    target = events.filter(F.col("event_type") != "error")
+    return target, events.filter(F.col("event_type").isin("click", "error")).withColumn("value", F.col("value") + 1000)
+
+
 @query(
     "upsert_by_key",
-    """SELECT event_id, user_id, event_type, CASE WHEN event_type IN ('click', 'error') THEN value + 1000 ELSE value END AS value
-       FROM events""",
+    _UPSERTED,
 )
 def _upsert_by_key(spark, sf):
     """Clicks are updated and errors are new; the rest stays."""
-    events = A.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
-    target = events.filter(F.col("event_type") != "error")
-    source = events.filter(F.col("event_type").isin("click", "error")).withColumn("value", F.col("value") + 1000)
-    return tables.upsert(target, source, ["event_id"])
+    return tables.upsert(*_upsert_sides(spark, sf), ["event_id"]).withColumn("ts", A.as_text("ts"))
+
+
+@query("upsert_table", _UPSERTED)
+def _upsert_table(spark, sf):
+    """The same as a load: the stored table is replaced by its merged state and read back."""
+    name = "flowmedallion_upsert"
+    target, source = _upsert_sides(spark, sf)
+    tables.write_table(target, name, path=scratch_path(spark, "upsert"))
+    tables.upsert_table(source, name, ["event_id"], path=scratch_path(spark, "upsert"))
+    return spark.read.table(name).withColumn("ts", A.as_text("ts"))
+
+
+_ORDERS = f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, {A.text_sql('o_orderdate')} AS o_orderdate FROM orders"
+
+
+def _text_date(df):
+    return df.withColumn("o_orderdate", A.as_text("o_orderdate"))
 
 
-@query("compact_table", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+@query("compact_table", _ORDERS)
 def _compact_table(spark, sf):
     path = scratch_path(spark, "compact")
-    orders = A.table(spark, sf, "orders").drop("o_orderdate")
-    orders.repartition(32).write.parquet(f"{path}/small")
-    return tables.compact(spark.read.parquet(f"{path}/small"), f"{path}/packed")
+    A.table(spark, sf, "orders").repartition(32).write.parquet(f"{path}/small")
+    return _text_date(tables.compact(spark.read.parquet(f"{path}/small"), f"{path}/packed"))
 
 
 def _loads(spark, sf) -> str:
     """Orders in three loads by status."""
     path = scratch_path(spark, "loads")
-    orders = A.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    orders = A.table(spark, sf, "orders")
     for load_id, status in enumerate(("F", "O", "P"), start=1):
         tables.append_load(orders.filter(F.col("o_orderstatus") == status), path, load_id)
     return path
@@ -195,10 +218,10 @@ def _loads(spark, sf) -> str:
 
 @query(
     "as_of_load",
-    "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O')",
+    f"{_ORDERS} WHERE o_orderstatus IN ('F', 'O')",
 )
 def _as_of_load(spark, sf):
-    return tables.as_of_load(spark.read.parquet(_loads(spark, sf)), 2).drop("o_orderdate")
+    return _text_date(tables.as_of_load(spark.read.parquet(_loads(spark, sf)), 2))
 
 
 @query(

@@ -8,23 +8,24 @@ from __future__ import annotations
 
 import logging
 import posixpath
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote, urlsplit
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from flowmedallion.functions.expressions import FLOATING, null_if_nonfinite
-from flowmedallion.operators.schema import clean_columns
+from flowmedallion.operators.schema import clean_column_name, clean_columns
 
 logger = logging.getLogger(__name__)
 
 SOURCE_FILE = "_source_file"
 INGESTION_TS = "_ingestion_ts"
 EXPECTED_DAY_FILES = 5
-# Up to this many entries each header is looked at; beyond it one scan reads all
-# files and Spark itself checks every header against the first.
-HEADER_PROBES = 32
+WRITERS = 8
+# Numeric types from narrow to wide; files that disagree within these take the widest.
+NUMBERS = (T.IntegerType(), T.LongType(), T.DoubleType())
 
 
 def _entry_of(file: str, base: str) -> str:
@@ -43,7 +44,9 @@ def list_entries(spark: SparkSession, path: str, suffix: str) -> list[str]:
     base = path.rstrip("/")
     try:
         files = spark.read.text(f"{base}/*{suffix}").inputFiles()
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return []
     return sorted({_entry_of(file, base) for file in files})
 
@@ -68,17 +71,12 @@ def drop_nonfinite(df: DataFrame) -> DataFrame:
     )
 
 
-def read_csv(
-    spark: SparkSession,
-    entries: str | list[str],
-    schema: T.StructType | None = None,
-    check_headers: bool = False,
-) -> DataFrame:
-    """CSV with a header row, types inferred unless given.
+def read_csv(spark: SparkSession, entries: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+    """CSV with a header row, types inferred unless given; columns are taken by position.
 
-    ``check_headers`` makes a file whose header differs from the first an error.
+    A file whose header differs from the others' or from ``schema`` is an error.
     """
-    reader = spark.read.option("header", True).option("enforceSchema", not check_headers)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(entries)
 
@@ -88,6 +86,102 @@ def _bronze_csv(df: DataFrame, keep_nonfinite: bool) -> DataFrame:
     return df if keep_nonfinite else drop_nonfinite(df)
 
 
+def _file_path() -> Column:
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def _entry_name(base: str) -> Column:
+    """The name of the entry that a row's file belongs to."""
+    root = urlsplit(base).path.strip("/")
+    inside = F.regexp_extract(_file_path(), rf"\Q/{root}/\E([^/]+)", 1)
+    return F.when(inside != "", inside).otherwise(F.substring_index(_file_path(), "/", -1))
+
+
+def csv_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """First line -> files that begin with it, for all files of the CSV entries of a folder.
+
+    One job looks at every file, part files of folder entries included, so that no file
+    is read under another's header.
+    """
+    base = path.rstrip("/")
+    try:
+        lines = spark.read.text(f"{base}/*.csv")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    first = (
+        lines.select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            "value",
+            F.monotonically_increasing_id().alias("place"),
+        )
+        .filter((F.col("start") == 0) & (F.trim("value") != ""))
+        .groupBy("file")
+        .agg(F.min_by("value", "place").alias("header"))
+        .groupBy("header")
+        .agg(F.collect_list("file").alias("files"))
+    )
+    return {r["header"]: sorted(unquote(file) for file in r["files"]) for r in first.orderBy("header").collect()}
+
+
+def _common_type(types: list[T.DataType]) -> T.DataType:
+    """One type for a column whose files disagree: the widest number, else text."""
+    different = {t.simpleString(): t for t in types}
+    if len(different) == 1:
+        return types[0]
+    known = [n.simpleString() for n in NUMBERS]
+    if set(different) <= set(known):
+        return NUMBERS[max(known.index(name) for name in different)]
+    return T.StringType()
+
+
+def _csv_frame(
+    spark: SparkSession,
+    base: str,
+    groups: list[list[str]],
+    schema: T.StructType | None,
+    keep_nonfinite: bool,
+    allow_missing: bool,
+) -> DataFrame:
+    """Files of one header each share a scan; the scans are united by clean column name."""
+    raw_names = [spark.read.option("header", True).csv(files[0]).columns for files in groups]
+    clean_names = [[clean_column_name(c) for c in names] for names in raw_names]
+    if schema is not None:
+        given = {clean_column_name(f.name): f.dataType for f in schema.fields}
+        types = [[given.get(c, T.StringType()) for c in names] for names in clean_names]
+        for names in clean_names:
+            differing = set(names) ^ set(given)
+            if differing and not allow_missing:
+                raise ValueError(f"schema and files differ in {', '.join(sorted(differing))}")
+    else:
+        given = None
+        found = [[f.dataType for f in read_csv(spark, files).schema.fields] for files in groups]
+        by_name: dict[str, list[T.DataType]] = {}
+        for names, kinds in zip(clean_names, found, strict=True):
+            for name, kind in zip(names, kinds, strict=True):
+                by_name.setdefault(name, []).append(kind)
+        types = [[_common_type(by_name[c]) for c in names] for names in clean_names]
+
+    bronze = None
+    for files, raw, kinds in zip(groups, raw_names, types, strict=True):
+        fields = T.StructType([T.StructField(name, kind) for name, kind in zip(raw, kinds, strict=True)])
+        rows = read_csv(spark, files, fields)
+        tagged = rows.select(*[F.col(f"`{c}`") for c in raw], _entry_name(base).alias(SOURCE_FILE))
+        frame = _bronze_csv(tagged, keep_nonfinite)
+        if given is not None:
+            frame = frame.select(
+                *[
+                    (F.col(f"`{c}`") if c in frame.columns else F.lit(None).cast(kind)).alias(c)
+                    for c, kind in given.items()
+                ],
+                SOURCE_FILE,
+            )
+        bronze = frame if bronze is None else bronze.unionByName(frame, allowMissingColumns=allow_missing)
+    return bronze.withColumn(INGESTION_TS, F.current_timestamp())
+
+
 def ingest_csv_to_bronze_memory(
     spark: SparkSession,
     input_path: str,
@@ -98,44 +192,21 @@ def ingest_csv_to_bronze_memory(
 ) -> DataFrame | None:
     """All CSV entries of a folder as one Bronze frame; ``None`` when there are none.
 
-    Files with the same header share one scan (CSV columns are matched by
-    position, so files with different headers never do) and the scans are united
-    by name.  Give ``schema`` to save the inference pass over large inputs.
+    Columns are matched by name, file by file.  A column whose type differs between
+    files takes the widest number or else text, for ``cast_types`` to settle.  Fields of
+    ``schema`` are matched by clean name too, whatever their order; a field that a file
+    lacks, or a column that the schema lacks, is an error unless ``allow_missing`` makes
+    it null or leaves it out.  Give ``schema`` to save the inference pass.
     """
-    entries = list_entries(spark, input_path, ".csv")
-    if not entries:
+    base = input_path.rstrip("/")
+    groups = list(csv_headers(spark, base).values())
+    if not groups:
         logger.warning("no CSV file in %s", input_path)
         return None
     if first_only:
-        entries = entries[:1]
-
-    if len(entries) > HEADER_PROBES:
-        groups = {(): entries}
-    else:
-        groups = {}
-        for entry in entries:
-            header = tuple(spark.read.option("header", True).csv(entry).columns)
-            groups.setdefault(header, []).append(entry)
-
-    frames = []
-    for members in groups.values():
-        raw = read_csv(spark, members, schema, check_headers=len(entries) > HEADER_PROBES)
-        names = [f"`{c}`" for c in raw.columns]
-        if len(members) == 1:
-            frame = _bronze_csv(raw, keep_nonfinite)
-            frames.append(add_ingestion_metadata(frame, posixpath.basename(members[0])))
-            continue
-        # the entry's name: the last path part that ends with .csv, part files aside
-        file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-        source = F.regexp_extract(file, r"([^/]+\.csv)(?:/part-[^/]*)?$", 1)
-        tagged = raw.select(*names, source.alias(SOURCE_FILE))
-        frame = _bronze_csv(tagged, keep_nonfinite)
-        frames.append(frame.withColumn(INGESTION_TS, F.current_timestamp()))
-
-    bronze = frames[0]
-    for frame in frames[1:]:
-        bronze = bronze.unionByName(frame, allowMissingColumns=allow_missing)
-    return bronze
+        first = min(_entry_of(file, base) for files in groups for file in files)
+        groups = [own for files in groups if (own := [f for f in files if _entry_of(f, base) == first])]
+    return _csv_frame(spark, base, groups, schema, keep_nonfinite, allow_missing)
 
 
 def ingest_csv_to_bronze(
@@ -145,16 +216,28 @@ def ingest_csv_to_bronze(
     schema: T.StructType | None = None,
     keep_nonfinite: bool = False,
 ) -> None:
-    """Each CSV entry of a folder to its own Bronze Parquet folder, named after the file."""
-    entries = list_entries(spark, input_path, ".csv")
+    """Each CSV entry of a folder to its own Bronze Parquet folder, named after the file.
+
+    Headers are looked at once for all entries; WRITERS entries are written at a time.
+    """
+    base = input_path.rstrip("/")
+    entries: dict[str, list[list[str]]] = {}
+    for files in csv_headers(spark, base).values():
+        own: dict[str, list[str]] = {}
+        for file in files:
+            own.setdefault(_entry_of(file, base), []).append(file)
+        for entry, members in own.items():
+            entries.setdefault(entry, []).append(members)
     if not entries:
         logger.warning("no CSV file in %s", input_path)
         return
-    for entry in entries:
-        frame = _bronze_csv(read_csv(spark, entry, schema), keep_nonfinite)
-        frame = add_ingestion_metadata(frame, posixpath.basename(entry))
-        target = f"{output_path.rstrip('/')}/{entry_stem(entry, '.csv')}"
-        frame.write.mode("overwrite").parquet(target)
+
+    def write(entry: str) -> None:
+        frame = _csv_frame(spark, base, entries[entry], schema, keep_nonfinite, allow_missing=False)
+        frame.write.mode("overwrite").parquet(f"{output_path.rstrip('/')}/{entry_stem(entry, '.csv')}")
+
+    with ThreadPoolExecutor(WRITERS) as pool:
+        list(pool.map(write, sorted(entries)))
 
 
 def ingest_parquet_to_bronze_memory(spark: SparkSession, file_path: str) -> DataFrame:
@@ -170,19 +253,26 @@ def ingest_multi_day(
 ) -> DataFrame | None:
     """All day files of a folder as one Bronze frame with ``day_of_week``.
 
-    The day is the last ``-`` part of the file stem.  Source and day are literals
-    per file, so a filter on either drops whole files when the plan is made.
+    The day is the last ``-`` part of the file stem.  Entries of one schema share a scan;
+    source and day come from the file's path, so a filter on either skips whole files.
     Columns must agree by name unless ``allow_missing`` is set.
     """
-    entries = list_entries(spark, input_path, ".parquet")
+    base = input_path.rstrip("/")
+    entries = list_entries(spark, base, ".parquet")
     if not entries:
         logger.warning("no Parquet file in %s", input_path)
         return None
     if len(entries) < EXPECTED_DAY_FILES:
         logger.warning("expected %d day files, found %d", EXPECTED_DAY_FILES, len(entries))
-    bronze = None
+    groups: dict[str, list[str]] = {}
     for entry in entries:
-        day = entry_stem(entry, ".parquet").split("-")[-1]
-        frame = ingest_parquet_to_bronze_memory(spark, entry).withColumn("day_of_week", F.lit(day))
+        groups.setdefault(spark.read.parquet(entry).schema.json(), []).append(entry)
+    bronze = None
+    for members in groups.values():
+        rows = spark.read.parquet(*members)
+        names = [F.col(f"`{c}`") for c in rows.columns]
+        frame = clean_columns(rows.select(*names, _entry_name(base).alias(SOURCE_FILE)))
+        day = F.regexp_extract(SOURCE_FILE, r"([^-]*)\.parquet$", 1)
+        frame = frame.withColumns({INGESTION_TS: F.current_timestamp(), "day_of_week": day})
         bronze = frame if bronze is None else bronze.unionByName(frame, allowMissingColumns=allow_missing)
     return bronze

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowmedallion.operators.schema import align_to_schema
@@ -13,6 +16,22 @@ def create_schema(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
 
 
+def gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The frame with the rows of one partition in few tasks, so that each writes few files.
+
+    Adaptive execution sizes the tasks and splits a partition that is too large for one.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a file or folder on whatever file system it lies."""
+    paths = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (old, new)]
+    system = paths[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(paths[0]) and not system.rename(*paths):
+        raise OSError(f"cannot rename {old}")
+
+
 def write_table(
     df: DataFrame,
     name: str,
@@ -21,7 +40,7 @@ def write_table(
     partition_by: tuple[str, ...] = (),
 ) -> None:
     """Replace a table; the schema may change.  ``fmt="delta"`` works where its package is present."""
-    writer = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
+    writer = gathered(df, partition_by).write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
     if path:
         writer = writer.option("path", path)
     writer.partitionBy(*partition_by).saveAsTable(name)
@@ -37,7 +56,7 @@ def append_table(df: DataFrame, name: str, fmt: str = "parquet", drop_extra: boo
     aligned = align_to_schema(df, table.schema, drop_extra=drop_extra)
     # partition columns are taken from the table by saveAsTable only when named again
     partitions = [c.name for c in df.sparkSession.catalog.listColumns(name) if c.isPartition]
-    aligned.write.format(fmt).mode("append").partitionBy(*partitions).saveAsTable(name)
+    gathered(aligned, partitions).write.format(fmt).mode("append").partitionBy(*partitions).saveAsTable(name)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -79,6 +98,25 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     return kept_or_updated.unionByName(added).unionByName(source.filter(~no_null_key))
 
 
+def upsert_table(source: DataFrame, name: str, keys: list[str], path: str | None = None, fmt: str = "parquet") -> None:
+    """Merge rows into a stored table by key (see ``upsert``) and put the result in its place.
+
+    The merged rows are written as a table of another name, from the old one, which stays
+    whole until they are complete; then the names are swapped and the old table goes.  A job
+    that fails before the swap leaves the table as it was.  ``path`` is a new folder for an
+    external table.
+    """
+    spark = source.sparkSession
+    old = spark.read.table(name)
+    partitions = tuple(c.name for c in spark.catalog.listColumns(name) if c.isPartition)
+    mark = uuid.uuid4().hex[:12]
+    fresh, aside = f"{name}_new_{mark}", f"{name}_old_{mark}"
+    write_table(upsert(old, source, keys), fresh, fmt, path, partitions)
+    spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    spark.sql(f"DROP TABLE {aside}")
+
+
 def compact(df: DataFrame, path: str, files: int | None = None) -> DataFrame:
     """Write the same rows in fewer files and read them back.
 
@@ -91,8 +129,9 @@ def compact(df: DataFrame, path: str, files: int | None = None) -> DataFrame:
 
 
 def append_load(df: DataFrame, path: str, load_id: int) -> None:
-    """Append one load to an append-only table that is partitioned by load."""
-    df.withColumn(LOAD_ID, F.lit(load_id)).write.mode("append").partitionBy(LOAD_ID).parquet(path)
+    """Add one load to a table that is partitioned by load; the same load again replaces itself."""
+    writer = df.withColumn(LOAD_ID, F.lit(load_id)).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(LOAD_ID).parquet(path)
 
 
 def as_of_load(table: DataFrame, load_id: int) -> DataFrame:

@@ -12,25 +12,27 @@ def values(df, *columns):
 
 
 def test_remove_duplicates(spark):
-    df = spark.createDataFrame([("x", 1), ("y", 2), ("x", 1), ("z", 3), ("y", 2)], "a string, b int")
+    df = spark.createDataFrame([("ab", 7), ("cd", 7), ("ab", 8), ("cd", 7), (None, 7), (None, 7), ("cd", 7)], "a string, b int")
     once = C.remove_duplicates(df)
-    assert once.count() == 3 and C.remove_duplicates(once).count() == 3
-    assert C.remove_duplicates(df.withColumn("file", F.monotonically_increasing_id()), ["a", "b"]).count() == 3
+    assert once.count() == 4 and C.remove_duplicates(once).count() == 4
+    assert C.remove_duplicates(df.withColumn("file", F.monotonically_increasing_id()), ["a", "b"]).count() == 4
+    assert C.remove_duplicates(df, ["b"]).count() == 2
 
 
 def test_handle_nulls(spark):
-    df = spark.createDataFrame([("1", "BENIGN", 1), (None, "DDoS", 2), ("2", None, None)], "source_ip string, label string, n int")
-    assert C.handle_nulls(df, ["source_ip", "label"]).count() == 1
+    df = spark.createDataFrame([("h9", "Bot", 4), ("h8", None, None), (None, None, 3), (None, "Bot", 5), ("h7", "Bot", 6)], "source_ip string, label string, n int")
+    assert C.handle_nulls(df, ["source_ip", "label"]).count() == 2
     filled = values(C.handle_nulls(df, ["source_ip"]).orderBy("source_ip"), "label", "n")
-    assert filled == [("BENIGN", 1), ("unknown", None)]
+    assert filled == [("Bot", 6), ("unknown", None), ("Bot", 4)]
+    assert C.handle_nulls(df, None, fill_value="?").filter("source_ip = '?'").count() == 2
 
 
 def test_filter_invalid_values(spark):
-    df = spark.createDataFrame([(1000, 80), (-500, 80), (200, 70000), (None, None), (0, 65535), (1, -1)], "bytes bigint, port int")
+    df = spark.createDataFrame([(77, 5060), (-1, 5060), (12, 65536), (None, None), (0, 65535), (9, -3), (31, 0)], "bytes bigint, port int")
     assert sorted(values(C.filter_invalid_values(df), "bytes", "port"), key=repr) == sorted(
-        [(1000, 80), (None, None), (0, 65535)], key=repr
+        [(77, 5060), (None, None), (0, 65535), (31, 0)], key=repr
     )
-    text = spark.createDataFrame([("5", "80"), ("-5", "80"), ("5", "x"), (None, None)], "bytes string, port string")
+    text = spark.createDataFrame([("61", "5060"), ("-2", "1"), ("61", "none"), (None, None)], "bytes string, port string")
     assert C.filter_invalid_values(text).count() == 2
     other = spark.createDataFrame([(1,)], "foo int")
     assert C.filter_invalid_values(other).count() == 1
@@ -38,7 +40,7 @@ def test_filter_invalid_values(spark):
 
 def test_standardize_labels(spark):
     raw = [
-        "  BENIGN  ", "DDoS ", " DoS Hulk", "DoS slowloris", "DoS Slowhttptest", "DoS GoldenEye",
+        "BENIGN    ", "   DDoS", "DoS Hulk  ", " DoS slowloris ", "DoS Slowhttptest", "  DoS GoldenEye",
         "Web Attack \\x96 XSS", "Web Attack \u0096 Brute Force", "Web Attack – Sql Injection", "\tBot", None, "Benign",
     ]
     df = spark.createDataFrame([(i, label) for i, label in enumerate(raw)], "i int, label string")
@@ -85,14 +87,14 @@ def test_derived_columns(spark):
 
 def test_packet_features(spark):
     df = spark.createDataFrame(
-        [(10, 5, 1000.0, 500.0), (10, 0, 1.0, 0.0), (0, 0, 0.0, 0.0), (2147483647, 1, 1.0, 1.0), (None, 1, None, 1.0)],
+        [(7, 2, 630.0, 90.0), (4, 0, 6.0, 0.0), (0, 0, 0.0, 0.0), (2147483647, 1, 1.0, 1.0), (None, 1, None, 1.0)],
         "total_fwd_packets int, total_backward_packets int, fwd_packets_length_total float, bwd_packets_length_total float",
     )
     rows = values(
         X.add_packet_aggregate_features(df), "total_packets", "total_bytes", "fwd_bwd_packet_ratio", "fwd_bwd_bytes_ratio", "bytes_per_packet"
     )
-    assert rows[0] == (15, 1500.0, 2.0, 2.0, 100.0)
-    assert rows[1] == (10, 1.0, 0.0, 0.0, 0.1)
+    assert rows[0] == (9, 720.0, 3.5, 7.0, 80.0)
+    assert rows[1] == (4, 6.0, 0.0, 0.0, 1.5)
     assert rows[2] == (0, 0.0, 0.0, 0.0, 0.0)
     assert rows[3][0] == 2147483648
     assert rows[4] == (None, None, None, None, None)
@@ -134,34 +136,38 @@ def test_binary_target(spark):
 
 
 GOLD = {
-    80: dict(attack_category="Unknown", is_attack=0, protocol_name="TCP", total_packets=15, total_bytes=1000.0,
-             fwd_bwd_packet_ratio=2.0, fwd_bwd_bytes_ratio=1.0, bytes_per_packet=1000 / 15, total_flag_count=5, has_syn_flag=0,
-             has_rst_flag=0, flow_iat_range=90.0, active_range=40.0, idle_active_ratio=1.0, packet_rate=0.015, byte_rate=1.0,
-             total_header_length=200, header_payload_ratio=0.2),
-    53: dict(attack_category="DoS", is_attack=1, protocol_name="UDP", total_packets=100, total_bytes=5000.0,
-             fwd_bwd_packet_ratio=0.0, fwd_bwd_bytes_ratio=0.0, bytes_per_packet=50.0, total_flag_count=50, has_syn_flag=1,
-             has_rst_flag=0, flow_iat_range=200.0, active_range=0.0, idle_active_ratio=0.0, packet_rate=0.02, byte_rate=1.0,
-             total_header_length=200, header_payload_ratio=0.04),
-    443: dict(attack_category="Unknown", is_attack=0, protocol_name="TCP", total_packets=30, total_bytes=2000.0,
-              fwd_bwd_packet_ratio=2.0, fwd_bwd_bytes_ratio=1.0, bytes_per_packet=2000 / 30, total_flag_count=10, has_syn_flag=0,
-              has_rst_flag=0, flow_iat_range=130.0, active_range=55.0, idle_active_ratio=1.0, packet_rate=0.015, byte_rate=1.0,
-              total_header_length=300, header_payload_ratio=0.15),
-    0: dict(attack_category="Probe", is_attack=1, protocol_name="ICMP", total_packets=10, total_bytes=100.0,
-            fwd_bwd_packet_ratio=1.0, fwd_bwd_bytes_ratio=1.0, bytes_per_packet=10.0, total_flag_count=5, has_syn_flag=0,
-            has_rst_flag=1, flow_iat_range=40.0, active_range=15.0, idle_active_ratio=1.0, packet_rate=0.1, byte_rate=1.0,
-            total_header_length=100, header_payload_ratio=1.0),
+    5353: dict(attack_category="Unknown", is_attack=0, protocol_name="UDP", total_packets=8, total_bytes=640.0,
+               fwd_bwd_packet_ratio=1.0, fwd_bwd_bytes_ratio=2 / 3, bytes_per_packet=80.0, total_flag_count=0, has_syn_flag=0,
+               has_rst_flag=0, flow_iat_range=24.0, active_range=0.0, idle_active_ratio=0.5, packet_rate=0.02, byte_rate=1.6,
+               total_header_length=64, header_payload_ratio=0.1),
+    8443: dict(attack_category="Unknown", is_attack=0, protocol_name="TCP", total_packets=15, total_bytes=4096.0,
+               fwd_bwd_packet_ratio=4.0, fwd_bwd_bytes_ratio=3.0, bytes_per_packet=4096 / 15, total_flag_count=12, has_syn_flag=0,
+               has_rst_flag=0, flow_iat_range=200.0, active_range=60.0, idle_active_ratio=0.25, packet_rate=0.001875,
+               byte_rate=0.512, total_header_length=300, header_payload_ratio=300 / 4096),
+    21: dict(attack_category="Brute Force", is_attack=1, protocol_name="TCP", total_packets=9, total_bytes=900.0,
+             fwd_bwd_packet_ratio=0.0, fwd_bwd_bytes_ratio=0.0, bytes_per_packet=100.0, total_flag_count=9, has_syn_flag=1,
+             has_rst_flag=0, flow_iat_range=20.0, active_range=0.0, idle_active_ratio=0.0, packet_rate=0.003, byte_rate=0.3,
+             total_header_length=180, header_payload_ratio=0.2),
+    6667: dict(attack_category="Other Attack", is_attack=1, protocol_name="Other", total_packets=3, total_bytes=75.0,
+               fwd_bwd_packet_ratio=2.0, fwd_bwd_bytes_ratio=2.0, bytes_per_packet=25.0, total_flag_count=5, has_syn_flag=1,
+               has_rst_flag=1, flow_iat_range=4.0, active_range=6.0, idle_active_ratio=4.0, packet_rate=0.05, byte_rate=1.25,
+               total_header_length=64, header_payload_ratio=64 / 75),
+    0: dict(attack_category="DoS", is_attack=1, protocol_name="ICMP", total_packets=40, total_bytes=3000.0,
+            fwd_bwd_packet_ratio=3.0, fwd_bwd_bytes_ratio=4.0, bytes_per_packet=75.0, total_flag_count=0, has_syn_flag=0,
+            has_rst_flag=0, flow_iat_range=60.0, active_range=12.0, idle_active_ratio=0.25, packet_rate=0.0, byte_rate=0.0,
+            total_header_length=800, header_payload_ratio=800 / 3000),
 }
 
 
 def test_golden_gold_frame(spark, bronze):
     silver = clean_bronze_to_silver(bronze)
-    assert silver.count() == 4 and len(silver.columns) == 26
+    assert silver.count() == 5 and len(silver.columns) == 28
     assert set(bronze.columns) - set(silver.columns) == {
-        "timestamp", "fin_flag_count", "psh_flag_count", "cwr_flag_count", "ece_flag_count", "idle_max", "idle_min"
+        "timestamp", "cwr_flag_count", "ece_flag_count", "idle_max", "idle_min"
     }
     assert all(r["is_attack"] == 1 for r in silver.collect())
     gold = transform_silver_to_gold(silver)
-    assert gold.count() == 4 and len(gold.columns) == 42 and "idle_range" not in gold.columns
+    assert gold.count() == 5 and len(gold.columns) == 44 and "idle_range" not in gold.columns
     for row in gold.collect():
         for name, expected in GOLD[row["port"]].items():
             if not isinstance(expected, str):
@@ -181,15 +187,15 @@ def test_order_of_rules_does_not_change_silver(spark, bronze):
     assert silver.columns == step.columns
     assert silver.exceptAll(step).count() == step.exceptAll(silver).count() == 0
     counts = {r["step"]: r["row_count"] for r in C.cleaning_step_counts(messy).collect()}
-    assert counts == {"input": 15, "remove_duplicates": 12, "handle_nulls": 8, "filter_invalid_values": 4}
+    assert counts == {"input": 18, "remove_duplicates": 15, "handle_nulls": 10, "filter_invalid_values": 5}
 
 
 def test_subset_deduplication(spark, bronze):
     other_file = bronze.withColumn("_source_file", F.lit("again.csv"))
     both = bronze.union(other_file)
     business = [c for c in both.columns if not c.startswith("_")]
-    assert clean_bronze_to_silver(both).count() == 8
-    assert clean_bronze_to_silver(both, subset=business).count() == 4
+    assert clean_bronze_to_silver(both).count() == 10
+    assert clean_bronze_to_silver(both, subset=business).count() == 5
 
 
 def test_repartitioning_changes_nothing(spark, bronze):
@@ -225,7 +231,7 @@ def test_row_steps_work_on_a_stream(spark, bronze, tmp_path):
     stepped = transform_silver_to_gold(C.add_derived_columns(C.standardize_labels(C.filter_invalid_values(stream))))
     query = stepped.writeStream.format("memory").queryName("stream_gold").trigger(availableNow=True).start()
     query.awaitTermination(60)
-    assert spark.table("stream_gold").count() == 5
+    assert spark.table("stream_gold").count() == 6
 
 
 def test_profiles(spark):
