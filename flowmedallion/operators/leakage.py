@@ -15,7 +15,7 @@ from flowmedallion import vocabulary as V
 from flowmedallion.functions.expressions import count_where, percentage
 from flowmedallion.operators.sampling import SPLIT, TEST, TRAIN
 
-# A group with at least 1/HOT_PARTS of the shared rows is hot; there are at most HOT_PARTS such groups.
+# A feature vector with at least 1/HOT_PARTS of all rows is hot; there are at most HOT_PARTS of them.
 HOT_PARTS = 1000
 
 
@@ -37,18 +37,19 @@ def feature_identical_rows(df: DataFrame, features: Sequence[str], split: str =
     """All rows of one side that have a feature-identical row on the other side.
 
     Values compare as columns do (``-0.0 = 0.0``).  Features must not be null, as
-    in a feature frame.  The rows of hot vectors are found by a broadcast of those
-    vectors, at most ``HOT_PARTS`` by counting; the rest has no hot key and is
+    in a feature frame.  Hot vectors, shared or on one side only, are broadcast, at most
+    ``HOT_PARTS`` by counting, and settle their rows; the rest has no hot key and is
     joined by a shuffle.
     """
     features = list(features)
-    shared = shared_feature_groups(df, features, split)
+    groups = feature_groups(df, features, split)
     size = F.col("train_rows") + F.col("test_rows")
-    limit = shared.agg(F.sum(size)).scalar() / F.lit(HOT_PARTS)
-    hot = shared.filter(size >= limit).select(*features)
-    cold = shared.filter(size < limit).select(*features)
-    from_hot = df.join(F.broadcast(hot), features, "left_semi")
-    from_cold = df.join(F.broadcast(hot), features, "left_anti").join(cold, features, "left_semi")
+    both = (F.col("train_rows") > 0) & (F.col("test_rows") > 0)
+    limit = groups.agg(F.sum(size)).scalar() / F.lit(HOT_PARTS)
+    hot = groups.filter(size >= limit)
+    cold = groups.filter((size < limit) & both).select(*features)
+    from_hot = df.join(F.broadcast(hot.filter(both).select(*features)), features, "left_semi")
+    from_cold = df.join(F.broadcast(hot.select(*features)), features, "left_anti").join(cold, features, "left_semi")
     return from_hot.unionByName(from_cold)
 
 

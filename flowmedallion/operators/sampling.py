@@ -72,11 +72,10 @@ def stratified_split_exact(
     key_cols: Sequence[str] | None = None,
     test_share: float = V.TEST_SHARE,
     seed: int = V.SEED,
-    classes: Sequence[int] = (0, 1),
 ) -> DataFrame:
     """Tag exactly ``round(share * rows of the class)`` rows of each class as ``test``.
 
-    The rows of a class with the smallest digests form its test part (exact when
+    Every value of the class column is a class, null among them; no row is lost.  The rows of a class with the smallest digests form its test part (exact when
     the key columns identify a row; copies of a key stay together).  No class
     is ever sorted as a whole: a histogram over 65,536 digest prefixes finds the
     prefix in which the quota ends, only keys with that prefix are ranked, and
@@ -84,9 +83,9 @@ def stratified_split_exact(
     compared with every row.
     """
     digest = row_digest(key_cols or default_keys(df), seed)
-    known = df.filter(F.col(class_col).isin(*classes))
-    drawn = known.select(
-        F.col(class_col).alias("_class"),
+    class_key = F.coalesce(F.concat(F.lit("="), F.col(class_col).cast("string")), F.lit("null"))
+    drawn = df.select(
+        class_key.alias("_class"),
         digest.alias("_digest"),
         F.substring(digest, 1, BUCKET_DIGITS).alias("_bucket"),
     )
@@ -116,12 +115,24 @@ def stratified_split_exact(
     )
     is_test = F.coalesce(digest <= F.col("_cut"), F.lit(False))
     return (
-        known.join(F.broadcast(cuts), F.col(class_col) == F.col("_cut_class"), "left")
+        df.join(F.broadcast(cuts), class_key == F.col("_cut_class"), "left")
         .withColumn(SPLIT, F.when(is_test, TEST).otherwise(TRAIN))
         .drop("_cut_class", "_cut")
     )
 
 
+def bound_train(df: DataFrame, train_rows: int, key_cols: Sequence[str] | None = None, seed: int = V.SEED) -> DataFrame:
+    """About ``train_rows`` rows of the train side stay; rows of other sides all stay.
+
+    Every class keeps the same fraction up to chance, drawn by hash without a shuffle.
+    The draw must not be the split's own, so give it another seed.
+    """
+    keys = key_cols or [c for c in default_keys(df) if c != SPLIT]
+    total = df.agg(F.nullif(F.sum(F.when(F.col(SPLIT) == TRAIN, 1)), F.lit(0)).cast("double")).scalar()
+    fraction = F.coalesce(F.least(F.lit(1.0), F.lit(float(train_rows)) / total), F.lit(1.0))
+    return df.filter((F.col(SPLIT) != TRAIN) | (digest_unit(row_digest(keys, seed)) < fraction))
+
+
 def temporal_split(
     df: DataFrame,
     train_days: Sequence[str] = V.TRAIN_DAYS,

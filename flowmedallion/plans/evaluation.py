@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from flowmedallion import vocabulary as V
 from flowmedallion.operators import curves, leakage, learning, metrics, runs
 from flowmedallion.operators.encoding import feature_names
-from flowmedallion.operators.sampling import TEST, TRAIN, part
+from flowmedallion.operators.sampling import TEST, TRAIN, part, temporal_split
 from flowmedallion.plans.training import prepare_temporal_split, prepare_training_data
 from flowmedallion.sources.models import load_model
 from flowmedallion.sources.session import materialize
@@ -42,16 +42,22 @@ def run_full_evaluation(
     boosted: dict = V.BOOSTED_DEFAULTS,
     key_cols: Sequence[str] | None = None,
 ) -> Evaluation:
-    """Score the saved model on its test rows, then fit and score a temporal model.
+    """Score the saved model on all test rows, then fit and score a temporal model.
 
-    Scored rows are written once each; every report reads only its columns.
+    The split is the one that training makes with the same seed and keys; overlap is looked
+    for among all rows of both sides.  ``sample_size`` bounds the rows that the temporal
+    model is fitted on, nothing else.  Scored rows are written once each, and so are the
+    running counts that all curves come from.
     """
     spark = gold.sparkSession
     model, _, features = load_model(spark, model_path)
-    prepared = materialize(prepare_training_data(gold, sample_size, seed, key_cols=key_cols), "evaluation")
+    if list(features) != feature_names(gold):
+        raise ValueError(f"the model was fitted on other features: {', '.join(features)}")
+    prepared = materialize(prepare_training_data(gold, None, seed, key_cols=key_cols), "evaluation")
     scored = materialize(learning.score(model, part(prepared, TEST)), "scored")
+    counts = materialize(curves.running_counts(scored), "running-counts")
 
-    by_day = materialize(prepare_temporal_split(gold), "temporal")
+    by_day = materialize(prepare_temporal_split(gold, sample_size, key_cols, seed), "temporal")
     temporal_model = learning.fit_boosted(part(by_day, TRAIN), feature_names(gold), seed=seed, **boosted)
     scored_by_day = materialize(learning.score(temporal_model, part(by_day, TEST)), "scored-temporal")
 
@@ -63,13 +69,13 @@ def run_full_evaluation(
     return Evaluation(
         protocol_metrics=protocol_metrics,
         confusion=metrics.confusion_counts(scored),
-        roc=curves.roc_curve(scored),
-        precision_recall=curves.pr_curve(scored),
-        average_precision=curves.average_precision(scored),
+        roc=curves.roc_curve(scored, counts=counts),
+        precision_recall=curves.pr_curve(scored, counts=counts),
+        average_precision=curves.average_precision(scored, counts=counts),
         missed_by_label=metrics.missed_by(scored, "label"),
         missed_by_day=metrics.missed_by(scored, "day_of_week"),
         identical=leakage.feature_identical_summary(prepared, features),
-        label_comparison=leakage.label_split_comparison(by_day),
+        label_comparison=leakage.label_split_comparison(temporal_split(gold)),
         per_day=metrics.metrics_by(scored_by_day),
         confusion_temporal=metrics.confusion_counts(scored_by_day),
         gap=runs.generalisation_gap(protocol_metrics),

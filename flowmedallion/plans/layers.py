@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from flowmedallion.operators import cleaning as C
 from flowmedallion.operators import features as X
 from flowmedallion.operators.schema import cast_types
+from flowmedallion.sources.session import materialize
 
 
 def clean_bronze_to_silver(
@@ -33,7 +34,11 @@ def clean_bronze_to_silver(
         rows = C.handle_nulls(rows)
         return cast_types(C.standardize_labels(rows, label_col))
 
-    silver = polish(C.remove_duplicates(valid, subset))
+    distinct = C.remove_duplicates(valid, subset)
+    if subset is not None and drop_constants:
+        # any row of a group may stay, so the choice is stored before it is measured
+        distinct = materialize(distinct, "distinct")
+    silver = polish(distinct)
     if drop_constants:
         if subset is None:
             silver = C.drop_constant_columns(silver, measured_on=polish(valid))

@@ -107,6 +107,18 @@ def test_curves_against_brute_force(scored, ranges):
     assert found["average_precision"] == pytest.approx(area) and found["baseline"] == pytest.approx(positives / 600)
 
 
+def test_rows_without_a_score_are_on_no_curve(scored):
+    rows, df = scored
+    holes = df.select("is_attack", "score").limit(40).withColumn("score", F.when(F.rand(1) < 0.5, F.lit(float("nan"))))
+    more = df.select("is_attack", "score").unionByName(holes).unionByName(
+        df.select(F.lit(None).cast("int").alias("is_attack"), "score").limit(5)
+    )
+    for curve in (curves.roc_curve, curves.pr_curve, curves.roc_auc, curves.average_precision):
+        assert sorted(map(tuple, curve(more).collect()), key=repr) == sorted(map(tuple, curve(df).collect()), key=repr)
+    counts = curves.running_counts(df)
+    assert curves.roc_auc(df.limit(0), counts=counts).collect() == curves.roc_auc(df).collect()
+
+
 @pytest.mark.parametrize("ranges", [1, 5])
 def test_dropping_collinear_points(spark, ranges):
     ys = [1, 1, 1, 0, 0, 1, 0, 0, 0, 1, 1]

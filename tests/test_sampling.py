@@ -57,6 +57,13 @@ def test_exact_split_of_small_and_missing_classes(spark):
     assert S.stratified_split_exact(df.limit(0), key_cols=["id"]).count() == 0
 
 
+def test_exact_split_keeps_every_class(spark):
+    df = spark.createDataFrame([(i, (0, 1, 2, None)[i % 4]) for i in range(40)], "id int, is_attack int")
+    split = S.stratified_split_exact(df, key_cols=["id"])
+    counts = {(r["is_attack"], r["split"]): r["count"] for r in split.groupBy("is_attack", "split").count().collect()}
+    assert counts == {(c, s): n for c in (0, 1, 2, None) for s, n in (("test", 2), ("train", 8))}
+
+
 def test_exact_split_with_a_hot_key(spark):
     """One key holds a third of all rows: its copies stay together and no row is lost."""
     df = spark.range(9000).select(
