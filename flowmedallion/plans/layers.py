@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from flowmedallion.operators import cleaning as C
 from flowmedallion.operators import features as X
@@ -12,6 +12,24 @@ from flowmedallion.operators.schema import cast_types
 from flowmedallion.sources.session import materialize
 
 
+def valid_rows(df: DataFrame, critical_columns: Sequence[str] | None = None) -> DataFrame:
+    """The rows that pass every rule that looks at one row."""
+    if critical_columns is None:
+        critical_columns = C.default_critical_columns(df)
+    return df.filter(C.not_null(critical_columns) & C.valid_values(df))
+
+
+def polished(df: DataFrame, label_col: str = "label") -> DataFrame:
+    """Texts filled, labels in their canonical spelling, types cast."""
+    return cast_types(C.standardize_labels(C.handle_nulls(df), label_col))
+
+
+def constants_of(bronze: DataFrame, columns: Sequence[str], label_col: str = "label") -> dict[str, str | None]:
+    """The one value, as text, of columns that cleaning found constant."""
+    row = polished(valid_rows(bronze), label_col).select(*[F.col(f"`{c}`").cast("string") for c in columns]).first()
+    return dict(zip(columns, row)) if row else {}
+
+
 def clean_bronze_to_silver(
     df: DataFrame,
     critical_columns: Sequence[str] | None = None,
@@ -26,13 +44,10 @@ def clean_bronze_to_silver(
     columns are found on the frame before the de-duplication shuffle.
     ``drop_constants=False`` keeps the whole thing lazy.
     """
-    if critical_columns is None:
-        critical_columns = C.default_critical_columns(df)
-    valid = df.filter(C.not_null(critical_columns) & C.valid_values(df))
+    valid = valid_rows(df, critical_columns)
 
     def polish(rows: DataFrame) -> DataFrame:
-        rows = C.handle_nulls(rows)
-        return cast_types(C.standardize_labels(rows, label_col))
+        return polished(rows, label_col)
 
     distinct = C.remove_duplicates(valid, subset)
     if subset is not None and drop_constants:

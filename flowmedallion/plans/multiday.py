@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowmedallion.operators import reports
 from flowmedallion.operators.profiling import layer_counts
-from flowmedallion.plans.layers import clean_bronze_to_silver, transform_silver_to_gold
+from flowmedallion.plans.layers import clean_bronze_to_silver, constants_of, transform_silver_to_gold
 from flowmedallion.sources.readers import ingest_multi_day
-from flowmedallion.sources.tables import append_table, write_table
+from flowmedallion.sources.tables import append_table, get_property, set_property, write_table
+
+CONSTANTS = "flowmedallion.constants"
+"""Table property: the columns that the load dropped as constant, with their values as text."""
 
 
 @dataclass(frozen=True)
@@ -42,7 +46,10 @@ def load_layers(
 
     stored_bronze = store(bronze, layers.bronze)
     silver = store(clean_bronze_to_silver(stored_bronze, label_col=label_col), layers.silver)
-    return store(transform_silver_to_gold(silver, label_col), layers.gold)
+    gold = store(transform_silver_to_gold(silver, label_col), layers.gold)
+    dropped = [c for c in stored_bronze.columns if c not in silver.columns]
+    set_property(spark, layers.gold, CONSTANTS, json.dumps(constants_of(stored_bronze, dropped, label_col)))
+    return gold
 
 
 def load_multi_day(spark: SparkSession, input_path: str, layers: Layers) -> DataFrame:
@@ -76,17 +83,34 @@ def layer_reports(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
     return found
 
 
-def increment_to_gold(new_rows: DataFrame, label_col: str = "label") -> DataFrame:
-    """New Bronze rows through cleaning and features.
+def increment_to_gold(new_rows: DataFrame, gold_table: str, label_col: str = "label") -> DataFrame:
+    """New Bronze rows through cleaning and features, on the columns that the table was built from.
 
-    Constant columns are kept: which ones are constant in a few new rows says
-    nothing about the table they are appended to.
+    Columns that the table dropped as constant must still hold their one value (where it
+    is not on record, one value within the increment), and there may be no other column
+    that the table lacks: such an increment is refused, because its features and values
+    would not mean what the table's mean.  Load the layers anew to take such columns in.
     """
-    return transform_silver_to_gold(
-        clean_bronze_to_silver(new_rows, label_col=label_col, drop_constants=False), label_col
-    )
+    spark = new_rows.sparkSession
+    table = spark.read.table(gold_table)
+    silver = clean_bronze_to_silver(new_rows, label_col=label_col, drop_constants=False)
+    extra = [c for c in silver.columns if c not in table.columns]
+    recorded = get_property(spark, gold_table, CONSTANTS)
+    if extra:
+        texts = {c: F.col(f"`{c}`").cast("string") for c in extra}
+        if recorded is not None:
+            known = json.loads(recorded)
+            differs = {c: F.lit(True) if c not in known else ~texts[c].eqNullSafe(F.lit(known[c])) for c in extra}
+            found = silver.agg(*[F.max(differs[c]).alias(c) for c in extra]).first()
+        else:
+            spread = lambda x: F.count_distinct(x) + F.max(x.isNull().cast("int")) > 1
+            found = silver.agg(*[spread(texts[c]).alias(c) for c in extra]).first()
+        changed = [c for c in extra if found[c]]
+        if changed:
+            raise ValueError(f"columns that {gold_table} does not have vary now: {', '.join(changed)}")
+    return transform_silver_to_gold(silver.drop(*extra), label_col)
 
 
 def append_increment(new_rows: DataFrame, gold_table: str, label_col: str = "label") -> None:
     """Append new Bronze rows to the Gold table, in the columns of that table."""
-    append_table(increment_to_gold(new_rows, label_col), gold_table, drop_extra=True)
+    append_table(increment_to_gold(new_rows, gold_table, label_col), gold_table, drop_extra=True)

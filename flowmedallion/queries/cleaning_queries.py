@@ -92,11 +92,16 @@ def _union_by_name(spark, sf):
 
 @query(
     "dedup_exact",
-    A.on_flows("SELECT DISTINCT source_ip, destination_ip, protocol, label FROM flows"),
+    A.on_flows(
+        f"""SELECT DISTINCT {', '.join(c for c in A.FLOW_COLUMNS if c != '"timestamp"')}, {A.text_sql('"timestamp"')} AS ts
+            FROM (SELECT * FROM flows UNION ALL SELECT * FROM flows WHERE protocol = 6)"""
+    ),
 )
 def _dedup_exact(spark, sf):
+    """Whole rows, many of them twice."""
     flows = A.flows(spark, sf)
-    return C.remove_duplicates(flows.select("source_ip", "destination_ip", "protocol", "label"))
+    twice = flows.unionByName(flows.filter("protocol = 6"))
+    return C.remove_duplicates(twice).withColumn("ts", A.as_text("timestamp")).drop("timestamp")
 
 
 @query(

@@ -83,14 +83,16 @@ def _table_profile(spark, sf):
 @query(
     "duplicate_count",
     A.on_flows(
-        """, k AS (SELECT source_ip, destination_ip, protocol, label FROM flows),
+        """, k AS (SELECT * FROM flows UNION ALL SELECT * FROM flows WHERE protocol = 6),
              d AS (SELECT DISTINCT * FROM k)
            SELECT (SELECT count(*) FROM k) AS total_rows, (SELECT count(*) FROM d) AS distinct_rows,
                   (SELECT count(*) FROM k) - (SELECT count(*) FROM d) AS duplicates"""
     ),
 )
 def _duplicate_count(spark, sf):
-    return P.duplicate_count(A.flows(spark, sf).select("source_ip", "destination_ip", "protocol", "label"))
+    """Whole rows, some of them twice."""
+    flows = A.flows(spark, sf)
+    return P.duplicate_count(flows.unionByName(flows.filter("protocol = 6")))
 
 
 _DESCRIBED = ["total_packets", "total_bytes", "bytes_per_packet", "total_flag_count"]
@@ -115,14 +117,13 @@ def _describe_features(spark, sf):
 @query(
     "quality_gate",
     A.on_flows(
-        """, m AS (
+        f""", m AS (
              SELECT CAST(count(*) AS DOUBLE) AS total,
-                    CAST(sum(CASE WHEN label IS NULL THEN 1 ELSE 0 END + CASE WHEN port IS NULL THEN 1 ELSE 0 END
-                           + CASE WHEN protocol IS NULL THEN 1 ELSE 0 END) AS DOUBLE) AS nulls,
-                    (SELECT CAST(count(*) AS DOUBLE) FROM (SELECT DISTINCT source_ip, label, port, protocol FROM flows)) AS once
+                    CAST({" + ".join(f"count(*) FILTER ({c} IS NULL)" for c in A.FLOW_COLUMNS)} AS DOUBLE) AS nulls,
+                    (SELECT CAST(count(*) AS DOUBLE) FROM (SELECT DISTINCT * FROM flows)) AS once
              FROM flows)
-           SELECT 'max_null_ratio' AS rule, round(nulls / (total * 4), 10) AS measured,
-                  CAST(0.05 AS DOUBLE) AS threshold, nulls / (total * 4) <= 0.05 AS passed FROM m
+           SELECT 'max_null_ratio' AS rule, round(nulls / (total * {len(A.FLOW_COLUMNS)}), 10) AS measured,
+                  CAST(0.05 AS DOUBLE) AS threshold, nulls / (total * {len(A.FLOW_COLUMNS)}) <= 0.05 AS passed FROM m
            UNION ALL
            SELECT 'max_duplicate_ratio', round((total - once) / total, 10), 0.01, (total - once) / total <= 0.01 FROM m
            UNION ALL
@@ -130,7 +131,7 @@ def _describe_features(spark, sf):
     ),
 )
 def _quality_gate(spark, sf):
-    gate = P.quality_gate(A.flows(spark, sf).select("source_ip", "label", "port", "protocol"))
+    gate = P.quality_gate(A.flows(spark, sf))
     return gate.withColumn("measured", F.round("measured", 10))
 
 

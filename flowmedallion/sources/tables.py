@@ -46,6 +46,16 @@ def write_table(
     writer.partitionBy(*partition_by).saveAsTable(name)
 
 
+def set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{key}' = '{escaped}')")
+
+
+def get_property(spark: SparkSession, name: str, key: str) -> str | None:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return next((r["value"] for r in rows if r["key"] == key), None)
+
+
 def append_table(df: DataFrame, name: str, fmt: str = "parquet", drop_extra: bool = False) -> None:
     """Append to a table in the table's own column order and types.
 

@@ -1,7 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
-from flowmedallion.plans.layers import transform_silver_to_gold
+from flowmedallion.plans.layers import clean_bronze_to_silver, transform_silver_to_gold
 from flowmedallion.plans.multiday import Layers, append_increment, layer_reports, load_multi_day
+from flowmedallion.sources.tables import write_table
 
 
 def test_multi_day_load_reports_and_increment(spark, bronze, tmp_path):
@@ -31,5 +33,26 @@ def test_multi_day_load_reports_and_increment(spark, bronze, tmp_path):
     assert grown.filter("day_of_week = 'Saturday' and total_packets is null").count() == 0
 
 
+    # cwr_flag_count was always 0 and left out; ece_flag_count counts as it did
+    for change in ({"cwr_flag_count": F.lit(7)}, {"idle_max": F.lit(None).cast("float")}, {"newcomer": F.lit("x")}):
+        with pytest.raises(ValueError, match=next(iter(change))):
+            append_increment(new.withColumns(change), "day_gold")
+    assert spark.read.table("day_gold").count() == 30
+
+
+@pytest.mark.parametrize("flag, refused", [("cwr_flag_count", True), ("fin_flag_count", False)])
+def test_increment_to_a_table_without_a_record(spark, bronze, flag, refused):
+    gold = transform_silver_to_gold(clean_bronze_to_silver(bronze))
+    write_table(gold, f"plain_gold_{flag}")
+    new = bronze.withColumns({"cwr_flag_count": F.lit(3), flag: F.col("port") % 2})
+    if refused:
+        with pytest.raises(ValueError, match=flag):
+            append_increment(new, f"plain_gold_{flag}")
+    else:
+        append_increment(new, f"plain_gold_{flag}")
+        rows = spark.read.table(f"plain_gold_{flag}").filter("port = 21").collect()
+        assert sorted((r["fin_flag_count"], r["total_flag_count"]) for r in rows) == [(0, 9), (1, 10)]
+
+
 def test_gold_keeps_every_row(spark, bronze):
     assert transform_silver_to_gold(bronze).count() == bronze.count()
