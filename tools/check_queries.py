@@ -10,6 +10,7 @@ import datetime
 import decimal
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -70,6 +71,7 @@ def session(cpus: str = "8"):
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
         "spark.sql.shuffle.partitions": cpus,
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="flowmedallion-"),
     }
     spark = create_spark_session("flowmedallion-check", f"local[{cpus}]", local)
     spark.sparkContext.setLogLevel("ERROR")
