@@ -223,7 +223,7 @@ def learn_weights(pages: DataFrame, page: str = "html", fit_pages: int = FIT_PAG
         for batch in batches:
             for piece in slices(batch, "html"):
                 for data in utf8(piece.column("html")):
-                    tokens = read(data.decode())
+                    tokens = read(data.decode(errors="replace"))
                     keep, homes = content(tokens)
                     marked = [(a, b) for a, b in homes if tokens[a][1] == "article"]
                     if len(marked) == 1:
@@ -247,7 +247,7 @@ def with_main_text(df: DataFrame, weights: dict[str, float], page: str = "html",
 
     def make() -> Callable:
         def work(pages: list[bytes | None]) -> list[pa.Array]:
-            return [pa.array([main_text(data.decode(), weights) if data else "" for data in pages], pa.string())]
+            return [pa.array([main_text(data.decode(errors="replace"), weights) if data else "" for data in pages], pa.string())]
 
         return work
 

@@ -41,7 +41,13 @@ BLOCK_WORDS = 1 << 15
 """Documents are estimated together until they have so many words."""
 UNKNOWN = "und"
 
-letters = re.compile(r"[^\W\d_]+").findall
+runs = re.compile(r"[^\W\d_]+").findall
+
+
+def letters(data: bytes) -> list[str]:
+    """The words of a text, lower-cased; none if it holds no letter."""
+    text = data.decode(errors="replace")
+    return runs(text.lower()) if any(map(str.isalpha, text)) else []
 
 
 def grams(word: str) -> list[int]:
@@ -87,7 +93,7 @@ def learn_languages(docs: DataFrame, text: str = "text", lang: str = "lang", fit
         for batch in batches:
             for piece in slices(batch, "text"):
                 for i, data in zip(piece.column("place").to_pylist(), utf8(piece.column("text")), strict=True):
-                    for word in letters(data.decode().lower()):
+                    for word in letters(data):
                         own = kept.get(word)
                         if own is None:
                             own = kept[word] = np.array(grams(word))
@@ -199,7 +205,7 @@ def with_languages(df: DataFrame, model: Languages, text: str = "text") -> DataF
                 sizes.clear()
 
             for data in texts:
-                words = letters(data.decode().lower()) if data and names else ()
+                words = letters(data) if data and names else ()
                 at.extend(map(kept.__getitem__, words))
                 sizes.append(len(words))
                 if len(at) >= BLOCK_WORDS:

@@ -189,7 +189,7 @@ def encode_texts(df: DataFrame, model_path: str, text: str = "text") -> DataFram
         model = pieces(model_path)
 
         def work(texts: list[bytes | None]) -> list[pa.Array]:
-            ids = [model.encode((data or b"").decode()) for data in texts]
+            ids = [model.encode((data or b"").decode(errors="replace")) for data in texts]
             model.check()
             return [packed_strings(ids), pa.array([model.decode(row) for row in ids], pa.string())]
 

@@ -53,7 +53,7 @@ def text_statistics(data: bytes | None) -> tuple[int, ...]:
         return (0,) * len(STATISTICS)
     words = data.split()
     n = len(words)
-    chars = len(data.decode()) - (len(data) - len(data.translate(None, SPACES)))
+    chars = len(data.decode(errors="replace")) - (len(data) - len(data.translate(None, SPACES)))
     lines = [line for line in data.split(b"\n") if line.strip()]
     windows = list(zip(words, words[1:], words[2:]))
     repeated = 0

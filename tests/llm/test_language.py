@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 
-from flowmedallion.llm.language import choose, keep_known, learn_languages, mix, with_languages
+from flowmedallion.llm.language import choose, keep_known, learn_languages, letters, mix, with_languages
 from flowmedallion.llm.queries import QUERIES
 
 
@@ -47,6 +47,10 @@ def test_set_of_a_mixed_text():
     assert (best[:, 1] > 0).tolist() == [True, True, False] and abs(best[0, 1] - 0.5) < 0.02
 
 
+def test_letters():
+    assert letters("² ½ 12 _ !".encode()) == [] and letters("Émile x2y ²".encode())[:1] == ["émile"]
+
+
 def test_odd_rows(odd_docs, no_docs):
     model = learn_languages(odd_docs)
     assert model.names == ("de", "en", "fr")
