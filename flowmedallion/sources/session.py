@@ -51,9 +51,22 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/flowmedallion/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path that no earlier call returned."""
-    return f"{scratch_root(spark)}/flowmedallion/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has stored in the scratch folder.
+
+    For the end of a job: frames that were built on stored tables can no longer be read.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
