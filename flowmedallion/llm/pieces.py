@@ -20,6 +20,7 @@ from __future__ import annotations
 import heapq
 import re
 import sys
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -59,7 +60,9 @@ class Pieces(dict):
             raise ValueError("user-defined and unused pieces are not supported")
         normal = [(i, p) for i, p in enumerate(model.pieces) if p.type == kinds.NORMAL]
         self.ids = {p.piece: i for i, p in normal}
-        self.scores = {p.piece: p.score for i, p in normal}
+        order = {score: i for i, score in enumerate(sorted({p.score for _, p in normal}, reverse=True))}
+        self.ranks = {p.piece: order[p.score] for _, p in normal}
+        """0 for the pieces with the best score; equal scores, equal ranks."""
         self.unknown = self.library.unk_id()
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == kinds.BYTE}
         self.surface = [p.piece.replace(MARK, " ").encode() if p.type == kinds.NORMAL else b"" for p in model.pieces]
@@ -76,30 +79,42 @@ class Pieces(dict):
         self.fresh: list[str] = []
 
     def merged(self, part: str) -> list[int]:
-        """The ids of a part, by the agenda."""
-        scores, symbols = self.scores, list(part)
-        before = list(range(-1, len(symbols) - 1))
-        after = [*range(1, len(symbols)), -1]
-        agenda = []
-        for i in range(len(symbols) - 1):
-            score = scores.get(symbols[i] + symbols[i + 1])
-            if score is not None:
-                agenda.append((-score, i, symbols[i] + symbols[i + 1]))
+        """The ids of a part, by the agenda.
+
+        An entry is the rank of a pair's score and the place of its left symbol in one number,
+        so that the least number is the best pair, leftmost among equals.  ``open_`` has the
+        rank of the pair that stands at each place now; other entries have gone stale.
+        """
+        rank, symbols = self.ranks.get, list(part)
+        n = len(symbols)
+        shift = 16 if n < 1 << 16 else 48
+        places = (1 << shift) - 1
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        open_ = [rank(a + b, -1) for a, b in zip(symbols, symbols[1:])]
+        open_.append(-1)
+        agenda = [r << shift | i for i, r in enumerate(open_) if r >= 0]
         heapq.heapify(agenda)
         while agenda:
-            _, left, pair = heapq.heappop(agenda)
+            entry = heapq.heappop(agenda)
+            left = entry & places
+            if open_[left] != entry >> shift:
+                continue
             right = after[left]
-            if right < 0 or not symbols[left] or symbols[left] + symbols[right] != pair:
-                continue  # one of the two has gone into another symbol meanwhile
-            symbols[left], symbols[right] = pair, ""
-            after[left] = after[right]
-            if after[right] >= 0:
-                before[after[right]] = left
-            for a, b in ((before[left], left), (left, after[left])):
-                if a >= 0 and b >= 0:
-                    score = scores.get(symbols[a] + symbols[b])
-                    if score is not None:
-                        heapq.heappush(agenda, (-score, a, symbols[a] + symbols[b]))
+            merged = symbols[left] = symbols[left] + symbols[right]
+            symbols[right], open_[right] = "", -1
+            right = after[left] = after[right]
+            if right < n:
+                before[right] = left
+                found = open_[left] = rank(merged + symbols[right], -1)
+                if found >= 0:
+                    heapq.heappush(agenda, found << shift | left)
+            else:
+                open_[left] = -1
+            left = before[left]
+            if left >= 0:
+                found = open_[left] = rank(symbols[left] + merged, -1)
+                if found >= 0:
+                    heapq.heappush(agenda, found << shift | left)
         ids = []
         for symbol in filter(None, symbols):
             own = self.ids.get(symbol)
@@ -111,8 +126,11 @@ class Pieces(dict):
                 ids.append(self.unknown)
         return ids
 
+    def packed(self, part: str) -> bytes:
+        return array("I", self.merged(part)).tobytes()
+
     def __missing__(self, part: str) -> bytes:
-        packed = np.array(self.merged(part), dtype="<u4").tobytes()
+        packed = self.packed(part)
         self.fresh.append(part)
         if len(part) <= LONG_PART:
             self[part] = packed
@@ -130,7 +148,7 @@ class Pieces(dict):
             lead = len(self.library.encode("\n"))
             found = self.library.encode(["\n" + part.replace(MARK, " ") for part in self.fresh], num_threads=1)
             for part, ids in zip(self.fresh, found, strict=True):
-                own = self[part] if len(part) <= LONG_PART else np.array(self.merged(part), dtype="<u4").tobytes()
+                own = self[part] if len(part) <= LONG_PART else self.packed(part)
                 if np.array(ids[lead:], dtype="<u4").tobytes() != own:
                     raise AssertionError(f"other ids than the library's for {part!r}")
         self.fresh = []

@@ -51,7 +51,7 @@ def test_broken_bytes_decode_like_library(library):
 
 def test_another_result_than_the_library_raises():
     model = Pieces(piece_model())
-    model.scores = {}
+    model.ranks = {}
     model.encode("the words")
     with pytest.raises(AssertionError):
         model.check()
