@@ -19,6 +19,21 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c.lower() not in taken])
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The frame with its columns called c0, c1, ..., so that none is called like an added one."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def place(df: DataFrame, name: str) -> str:
+    """The name in ``numbered(df)`` of a column of df."""
+    return f"c{[c.lower() for c in df.columns].index(name.lower())}"
+
+
+def restored(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``numbered(like)`` under their own names; added ones go."""
+    return df.select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(like.columns)])
+
+
 def utf8(column) -> list[bytes | None]:
     """A string column's values as UTF-8 bytes, without decoding them."""
     if isinstance(column, pa.ChunkedArray):
@@ -62,5 +77,6 @@ def append_columns(
             for piece in slices(batch, text):
                 made = work(utf8(piece.column(text)))
                 yield pa.RecordBatch.from_arrays([*piece.columns, *made], names=[*columns, *names])
+            pa.default_memory_pool().release_unused()  # workers live on; others need the memory
 
     return kept.mapInArrow(run, StructType([*kept.schema.fields, *fields]))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowmedallion.llm.batches import append_columns, slices, utf8
+from flowmedallion.llm.batches import append_columns, numbered, place, restored, slices, utf8
 
 FIT_DOCS = 3_000
 """About so many labelled documents of each language are learned from: a hashed share of them."""
@@ -229,6 +229,5 @@ def keep_known(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id:
     model = learn_languages(docs.filter(~held_out(doc_id) & F.col(doc_id).isNotNull()), text, lang)
     if not model.names:
         return docs
-    quoted = [F.col(f"`{c}`") for c in docs.columns]
-    packed = docs.select(F.struct(*quoted).alias("row"), F.col(f"`{text}`").alias("text"))
-    return with_languages(packed, model).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
+    judged = with_languages(numbered(docs), model, place(docs, text))
+    return restored(judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)), docs)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowmedallion.llm.batches import append_columns
+from flowmedallion.llm.batches import append_columns, numbered, place, restored
 
 FIT_ROWS = 20_000
 """Most labelled documents that are fitted on: those with the smallest id hashes."""
@@ -251,7 +251,4 @@ def judge(docs: DataFrame, rules: RuleList, text: str = "text") -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
     """The documents that pass base rule and learned rules, with the columns they had."""
     rules = fit_rules(docs, labels, text)
-    quoted = [F.col(f"`{c}`") for c in docs.columns]
-    key = F.struct(*quoted).alias("_row")
-    judged = judge(docs.select(key, F.col(f"`{text}`").alias("text")), rules)
-    return judged.filter("kept").select("_row.*")
+    return restored(judge(numbered(docs), rules, place(docs, text)).filter("kept"), docs)

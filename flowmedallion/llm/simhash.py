@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowmedallion.llm.batches import append_columns
+from flowmedallion.llm.batches import append_columns, numbered, place, restored
 from flowmedallion.llm.components import components, store
 
 SEED = 42
@@ -204,13 +204,12 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each near-duplicate class stays, with the columns it had: the one with the
     smallest id (rows without an id come last; among equal ids, any one whole row)."""
-    quoted = [F.col(f"`{c}`") for c in docs.columns]
-    packed = docs.select(F.struct(*quoted).alias("row"), F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    rows, _ = store(with_fingerprints(packed).drop("text").withColumn("at", F.monotonically_increasing_id()), "rows")
+    printed = with_fingerprints(numbered(docs), place(docs, text))
+    rows, _ = store(printed.withColumn("at", F.monotonically_increasing_id()), "rows")
     first = (
-        classes(rows.select("doc_id", "fp", "at"))
+        classes(rows.select(F.col(place(docs, doc_id)).alias("doc_id"), "fp", "at"))
         .groupBy("root")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at")).alias("first"))
         .select(F.col("first.at").alias("at"))
     )
-    return rows.join(first, "at", "left_semi").select("row.*")
+    return restored(rows.join(first, "at", "left_semi"), docs)
