@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from flowmedallion import vocabulary as V
 from flowmedallion.functions.expressions import count_where, ratio_or_null
@@ -38,11 +39,28 @@ def _per_column(df: DataFrame, measures: dict[str, dict[str, Column]]) -> DataFr
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
-def _is_constant(column: Column) -> Column:
-    """At most one distinct value, null being a value: all null, or no null and min = max."""
-    present = F.count(column)
-    same = F.coalesce(F.min(column) == F.max(column), F.lit(False))
-    return (present == 0) | ((present == F.count("*")) & same)
+def _constancy(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
+    """For each column an aggregate: at most one distinct value, null being a value.
+
+    Numbers: all null, or no null and min = max.  Texts and other types whose extremes would
+    keep the aggregate from hashing: no row differs from the table's first.
+    """
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType))}
+    others = [c for c in columns if c not in numeric]
+    first = None
+    if others:
+        first = df.limit(1).agg(F.first(F.struct(*[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(others)]))).scalar()
+
+    def one(name: str) -> Column:
+        column = F.col(f"`{name}`")
+        if name not in numeric:
+            differs = ~column.eqNullSafe(first.getField(f"v{others.index(name)}"))
+            return F.coalesce(F.max(differs.cast("int")) == 0, F.lit(True))
+        present = F.count(column)
+        same = F.coalesce(F.min(column) == F.max(column), F.lit(False))
+        return (present == 0) | ((present == F.count("*")) & same)
+
+    return {c: one(c) for c in columns}
 
 
 def checked_columns(df: DataFrame, protected: Sequence[str] = ("label",)) -> list[str]:
@@ -54,7 +72,7 @@ def constant_columns(df: DataFrame, protected: Sequence[str] = ("label",)) -> Da
     columns = checked_columns(df, protected)
     if not columns:
         return df.sparkSession.createDataFrame([], "column string")
-    flags = _per_column(df, {c: {"constant": _is_constant(F.col(f"`{c}`"))} for c in columns})
+    flags = _per_column(df, {c: {"constant": flag} for c, flag in _constancy(df, columns).items()})
     return flags.filter("constant").select("column")
 
 
@@ -80,14 +98,14 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def profile(df: DataFrame, protected: Sequence[str] = ("label",)) -> DataFrame:
     """Rows, nulls and constancy of each column together in one pass."""
-    checked = set(checked_columns(df, protected))
+    constant = _constancy(df, checked_columns(df, protected))
     measures = {}
     for c in df.columns:
         column = F.col(f"`{c}`")
         measures[c] = {
             "row_count": F.count("*"),
             "nulls": count_where(column.isNull()),
-            "constant": _is_constant(column) if c in checked else F.first(F.lit(False)),
+            "constant": constant.get(c, F.first(F.lit(False))),
         }
     return _per_column(df, measures)
 
