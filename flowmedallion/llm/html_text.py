@@ -52,10 +52,12 @@ BARRED_NAMES = frozenset(
     "complementary contentinfo navigation tags taglist byline-links outbrain taboola hidden".split()
 )
 
+# Attributes; quotes enclose a value only behind an equals sign.
+REST = r"""(?:[^>=]|=\s*(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*)?)*"""
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])" + REST + r">.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>" + REST + r")(?:>|\Z)"
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
 )

@@ -56,7 +56,9 @@ def test_weights_are_learned(spark):
 @pytest.mark.parametrize(
     "page, text",
     [("", ""), ("plain words only", "plain words only"), ("<p>a &lt;b&gt; c", "a <b> c"), ("<", "<"), ("<p>x < y", "x < y"), ("<nav>never closed <p>still read here", "never closed\nstill read here"),
-     ("<script>only code", ""), ("<div hidden>no</div><p>yes it is", "yes it is"), ("a" * 100_000, "a" * 100_000), ("<p>" * 3000 + "deep", "deep")],
+     ("<script>only code", ""), ("<div hidden>no</div><p>yes it is", "yes it is"), ("a" * 100_000, "a" * 100_000), ("<p>" * 3000 + "deep", "deep"),
+     ("now see <a href=x'y>it's</a> a <b title='a>b' c=\"d'e>f\">bold</b> word", "now see it's a bold word"), ("<p \"x>open <i class=>quote</i>", "open quote"),
+     ("<p>one<br/>two<p title=\"never closed>three</p>", "one two\nthree")],
 )
 def test_odd_pages(page, text):
     assert main_text(page, DEFAULT) == text
