@@ -10,7 +10,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+FEW_ROWS = "1000"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The frame, in a session that sends texts to Python in batches of FEW_ROWS rows at most.
+
+    Spark's default of 10,000 rows takes much memory where texts are long.  A setting that
+    differs from the default is the user's and stays.
+    """
+    session = df.sparkSession
+    if session.conf.get(BATCH_ROWS) == "10000":
+        session.conf.set(BATCH_ROWS, FEW_ROWS)
+    return df
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:
@@ -79,4 +93,4 @@ def append_columns(
                 yield pa.RecordBatch.from_arrays([*piece.columns, *made], names=[*columns, *names])
             pa.default_memory_pool().release_unused()  # workers live on; others need the memory
 
-    return kept.mapInArrow(run, StructType([*kept.schema.fields, *fields]))
+    return small_batches(kept).mapInArrow(run, StructType([*kept.schema.fields, *fields]))

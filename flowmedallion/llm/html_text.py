@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowmedallion.llm.batches import append_columns, slices, utf8
+from flowmedallion.llm.batches import append_columns, slices, small_batches, utf8
 
 FIT_PAGES = 3_000
 """About so many pages are read for the weights: a hashed share of all."""
@@ -237,7 +237,7 @@ def learn_weights(pages: DataFrame, page: str = "html", fit_pages: int = FIT_PAG
         types = (pa.bool_(), pa.string(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["inside", "feature", "n"])
 
-    found = chosen.mapInArrow(count, "inside boolean, feature string, n long").groupBy("inside", "feature").agg(F.sum("n").alias("n"))
+    found = small_batches(chosen).mapInArrow(count, "inside boolean, feature string, n long").groupBy("inside", "feature").agg(F.sum("n").alias("n"))
     inside, outside = Counter(), Counter()
     for r in found.collect():  # features are a fixed set
         (inside if r["inside"] else outside)[r["feature"]] += r["n"]

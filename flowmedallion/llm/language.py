@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowmedallion.llm.batches import append_columns, numbered, place, restored, slices, utf8
+from flowmedallion.llm.batches import append_columns, numbered, place, restored, slices, small_batches, utf8
 
 FIT_DOCS = 3_000
 """About so many labelled documents of each language are learned from: a hashed share of them."""
@@ -35,7 +35,7 @@ MOST_LANGUAGES = 500
 ROUNDS = 12
 PRIOR = 0.5
 SMOOTH = 0.5
-WORDS_KEPT = 500_000
+WORDS_KEPT = 200_000
 """Words whose likelihoods a task remembers before it starts anew."""
 BLOCK_WORDS = 1 << 15
 """Documents are estimated together until they have so many words."""
@@ -107,7 +107,7 @@ def learn_languages(docs: DataFrame, text: str = "text", lang: str = "lang", fit
         )
 
     rows = (
-        chosen.mapInArrow(count, "place int, bucket int, n long").groupBy("place", "bucket").agg(F.sum("n").alias("n")).toArrow()
+        small_batches(chosen).mapInArrow(count, "place int, bucket int, n long").groupBy("place", "bucket").agg(F.sum("n").alias("n")).toArrow()
     )
     counts = np.zeros((BUCKETS, len(names)))
     counts[rows["bucket"].to_numpy(), rows["place"].to_numpy()] = rows["n"].to_numpy()

@@ -53,7 +53,7 @@ class Pieces(dict):
         if rules.precompiled_charsmap or rules.remove_extra_whitespaces or not rules.escape_whitespaces:
             raise ValueError("only models that keep the text as it is")
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.prefix = MARK if rules.add_dummy_prefix else ""
+        self.prefix = " " if rules.add_dummy_prefix else ""
         self.begin, self.end = self.library.bos_id(), self.library.eos_id()
         kinds = model.SentencePiece
         if any(p.type in (kinds.USER_DEFINED, kinds.UNUSED) for p in model.pieces):
@@ -73,19 +73,20 @@ class Pieces(dict):
         longer = [p.piece for _, p in normal if len(p.piece) > 1]
         own_line = not any("\n" in piece for piece in longer) and "\n" not in self.ids
         own_word = not any(MARK in piece.lstrip(MARK) for piece in longer)
-        word = "[^▁\n]" if own_line else "[^▁]"
-        pattern = f"{MARK}*{word}+|{MARK}+" + ("|\n" if own_line else "")
+        # parts have spaces for word marks, so that most take one byte a character
+        word = "[^ \n]" if own_line else "[^ ]"
+        pattern = f" *{word}+| +" + ("|\n" if own_line else "")
         self.split = re.compile(pattern).findall if own_word else lambda text: [text] if text else []
         self.fresh: list[str] = []
 
     def merged(self, part: str) -> list[int]:
-        """The ids of a part, by the agenda.
+        """The ids of a part, its spaces being word marks, by the agenda.
 
         An entry is the rank of a pair's score and the place of its left symbol in one number,
         so that the least number is the best pair, leftmost among equals.  ``open_`` has the
         rank of the pair that stands at each place now; other entries have gone stale.
         """
-        rank, symbols = self.ranks.get, list(part)
+        rank, symbols = self.ranks.get, list(part.replace(" ", MARK))
         n = len(symbols)
         shift = 16 if n < 1 << 16 else 48
         places = (1 << shift) - 1
@@ -138,7 +139,7 @@ class Pieces(dict):
 
     def encode(self, text: str) -> bytes:
         """Ids with begin and end, packed as little-endian unsigned 32-bit integers."""
-        parts = self.split(self.prefix + text.replace(" ", MARK)) if text else ()
+        parts = self.split(self.prefix + text.replace(MARK, " ")) if text else ()
         ids = b"".join(map(self.__getitem__, parts))
         return self.begin.to_bytes(4, "little") + ids + self.end.to_bytes(4, "little")
 
@@ -146,7 +147,7 @@ class Pieces(dict):
         """Compare the parts met since the last call with the library, then forget if too many are kept."""
         if self.fresh:
             lead = len(self.library.encode("\n"))
-            found = self.library.encode(["\n" + part.replace(MARK, " ") for part in self.fresh], num_threads=1)
+            found = self.library.encode(["\n" + part for part in self.fresh], num_threads=1)
             for part, ids in zip(self.fresh, found, strict=True):
                 own = self[part] if len(part) <= LONG_PART else self.packed(part)
                 if np.array(ids[lead:], dtype="<u4").tobytes() != own:

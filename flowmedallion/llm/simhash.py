@@ -160,10 +160,19 @@ def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
             ends = fps.view(np.int64)[np.array(pairs, dtype=np.int64).reshape(-1, 2)]
             return pa.RecordBatch.from_arrays([pa.array(ends[:, 0].copy()), pa.array(ends[:, 1].copy())], names=["a", "b"])
 
-        for batch in batches:
-            if not batch.num_rows:
+        def gathered() -> Iterator[pa.Table]:
+            waiting: list[pa.RecordBatch] = []
+            for batch in batches:
+                waiting.append(batch)
+                if sum(b.num_rows for b in waiting) >= 1 << 16:
+                    yield pa.Table.from_batches(waiting)
+                    waiting = []
+            if waiting:
+                yield pa.Table.from_batches(waiting)
+
+        for piece in gathered():
+            if not piece.num_rows:
                 continue
-            piece = pa.Table.from_batches([batch])
             held = piece if held is None else pa.concat_tables([held, piece])
             last = [held.column(c)[-1] for c in cell]
             same = np.ones(held.num_rows, dtype=bool)
