@@ -9,6 +9,11 @@ the rules, in the order of RULES: a rule whose sequence occurs names its licence
 sentences are used up.  Known sentences that no rule used are ``part``; sentences with the
 word license or licensed that are not known count as unknown.
 
+Licence files and source headers wrap their sentences.  Neighbouring lines that make a known
+sentence together, comment leaders and empty lines left out, count as that sentence and no
+longer as lines; semicolons are joined over, other sentence ends are not.  The SQL of the
+query reads line by line: it gives the same where no known sentence is wrapped.
+
 Null and empty texts have no sentence.  Every row of the input has a row in the result; rows
 with one id and text share it.  Only DataFrame functions are used; the broadcast table is
 the fixed list of known sentences.
@@ -86,6 +91,11 @@ RULES: list[tuple[str, list[str]]] = [
     ("Proprietary", ["reserved"]),
 ]
 END = r"[.?!;]+\s+|\n+"
+VERSION = r"\bversion (?=[0-9])"
+# Words of which every known sentence has one; fixed values.
+HINTS = r"(?i)licen[cs]e|released|distribut|available|published|permission|reserved|free\s+software"
+# The GPL's notice of version 3 has a colon where that of version 2 has a semicolon.
+WRAPPED = {f"{SENTENCES['gpl_free'][0]} {text}": ["gpl_free", name] for name in ("gpl_any_2", "gpl_any_3") for text in SENTENCES[name]}
 
 
 def known_sentences() -> list[tuple[str, str]]:
@@ -99,10 +109,41 @@ def known_sentences() -> list[tuple[str, str]]:
 
 def normalised(sentence: Column) -> Column:
     out = F.regexp_replace(F.lower(sentence), r"[^a-z0-9.+-]+", " ")
-    out = F.regexp_replace(F.replace(out, F.lit("licence"), F.lit("license")), r"\bversion (?=[0-9])", "v")
+    out = F.regexp_replace(F.replace(out, F.lit("licence"), F.lit("license")), VERSION, "v")
     return F.regexp_replace(out, r"^[ .+-]+|[ .+-]+$", "")
 
 
+def wrapped(rows: DataFrame) -> DataFrame:
+    """``key, first, last, ids`` for every known sentence that goes over several lines or semicolons: the places of its
+    first and last line among the pieces of END, and its identifiers."""
+    known = [(text, [name]) for text, name in known_sentences()] + list(WRAPPED.items())
+    most = max(len(text.split()) for text, _ in known)  # lines without words are left out
+    opens = sorted({" ".join(text.split()[:2]) for text, _ in known})
+    begins = "^(?:" + "|".join(o.replace(".", r"\.").replace("+", r"\+") for o in opens) + ")(?: |$)"
+    raws = F.split(F.regexp_replace("text", r"([.?!;]+)\s+", "$1\u0002\n"), r"\n+")  # the pieces of END, their kind of end marked
+    lines = F.transform(raws, lambda raw, at: F.struct(at.alias("at"), normalised(raw).alias("sentence"), raw.rlike("[.?!]\u0002$").alias("stop")))
+    held = rows.filter(F.col("text").rlike(HINTS)).select("key", F.filter(lines, lambda p: p["sentence"] != "").alias("lines")).filter(F.size("lines") > 1)
+    line = lambda i: F.get(F.col("lines"), i)
+
+    def may_begin(i: Column) -> Column:
+        return ~line(i)["stop"] & F.concat_ws(" ", line(i)["sentence"], line(i + 1)["sentence"]).rlike(begins)
+
+    begun = held.select("key", F.explode(F.transform(F.filter(F.sequence(F.lit(0), F.size("lines") - 2), may_begin), lambda i: F.slice("lines", i + 1, most))).alias("block"))
+    end = F.array_position(F.transform("block", lambda p: p["stop"]), True).cast("int")
+    ended = begun.withColumn("n", F.when(end > 0, end).otherwise(F.size("block")))
+
+    def run(n: Column) -> Column:
+        joined = F.array_join(F.transform(F.slice("block", 1, n), lambda p: p["sentence"]), " ")
+        return F.struct(F.get(F.col("block"), n - 1)["at"].alias("last"), F.regexp_replace(joined, VERSION, "v").alias("sentence"))
+
+    runs = ended.select("key", F.get(F.col("block"), F.lit(0))["at"].alias("first"), F.explode(F.transform(F.sequence(F.lit(2), F.col("n")), run)).alias("run"))
+    table = F.broadcast(rows.sparkSession.createDataFrame(known, "sentence string, ids array<string>"))
+    found = runs.select("key", "first", "run.*").join(table, "sentence").groupBy("key", "first").agg(F.max(F.struct("last", "ids")).alias("r"))
+    longest = found.select("key", "first", "r.*")
+    before = longest.select("key", F.col("first").alias("other"), F.col("last").alias("until"))
+    return longest.join(before, (longest["key"] == before["key"]) & (F.col("other") < F.col("first")) & (F.col("first") <= F.col("until")), "left_anti")
+
+
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, sentences, licenses, parts, unknown`` for every row: identifiers in order and licences in
     the order of RULES, each joined by ``; ``, and the numbers of unused and of unknown sentences."""
@@ -113,6 +154,11 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     )
     cut = rows.select("key", F.posexplode(F.split("text", END)).alias("at", "raw")).select("key", "at", normalised(F.col("raw")).alias("sentence"))
     hits = cut.join(known, "sentence", "left").filter(F.col("id").isNotNull() | F.contains("sentence", F.lit("license")))
+    over = wrapped(rows).withColumnRenamed("key", "own")
+    alone = hits.join(over, (F.col("key") == F.col("own")) & F.col("at").between(F.col("first"), F.col("last")), "left_anti")
+    hits = alone.select("key", F.struct("at", F.lit(0).alias("part")).alias("at"), "id").unionByName(
+        over.select(F.col("own").alias("key"), "first", F.posexplode("ids").alias("part", "id")).select("key", F.struct(F.col("first").alias("at"), "part").alias("at"), "id")
+    )
     rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f"<{i}>" for i in ids)).alias("ids")) for name, ids in RULES])
     start = F.struct(F.col("marks").alias("left"), F.array().cast("array<string>").alias("names"))
 

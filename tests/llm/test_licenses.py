@@ -45,3 +45,65 @@ def test_odd_rows(spark):
     rows = [(1, "Released under the MIT License.", None, None)] * 2 + [(None, "All rights reserved.", None, None), (None, None, None, None)]
     assert sorted(r[2] for r in spark_rows(spark, rows)) == ["", "MIT", "MIT", "Proprietary"]
     assert spark_rows(spark, []) == []
+
+
+MIT_FILE = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+APACHE_HEADER = """# Copyright 2020 Some One
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+import os
+"""
+BSD_HEADER = """;; Redistribution and use in source and binary forms, with or without
+;; modification, are permitted provided that the following conditions
+;; are met:
+;; 1. Redistributions of source code must retain the above copyright notice.
+"""
+GPL_2 = """ * This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation; either version 2 of the License, or
+ * (at your option) any later version.
+"""
+GPL_3 = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+"""
+WRAPPED_CASES = [
+    (MIT_FILE, "mit_grant; mit_notice", "MIT", 0, 1),
+    (APACHE_HEADER, "apache_use; apache_copy; as_is; limits", "Apache-2.0", 2, 1),
+    (BSD_HEADER, "bsd_grant", "BSD", 0, 0),
+    (GPL_2, "gpl_free; gpl_any_2", "GPL-2.0-or-later", 0, 0),
+    (GPL_3, "gpl_free; gpl_any_3", "GPL-3.0-or-later", 0, 0),
+    ("x\nReleased under the GNU\nGeneral Public License, version\n3\ny", "named GPL-3.0", "GPL-3.0", 0, 0),
+    ("This work is\nlicensed under\nCC0\n1.0 Universal", "named CC0-1.0", "CC0-1.0", 0, 0),
+    ("All rights! \nReserved", "", "", 0, 0),
+    ("All rights. \nReserved", "", "", 0, 0),
+]
+
+
+def test_wrapped_notices(spark):
+    rows = [(i, case[0], "x", 1) for i, case in enumerate(WRAPPED_CASES)]
+    assert spark_rows(spark, rows) == sorted(((i, *case[1:]) for i, case in enumerate(WRAPPED_CASES)), key=str)
