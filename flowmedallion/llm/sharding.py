@@ -12,12 +12,15 @@ groups of over 1/FINE of that, and so on; the last level takes the rest in cells
 CELL groups.  Cells of a level are packed in parallel and none grows with the data.  Each
 level starts from the capacities that the levels before it left, so it evens them out.
 
-Only groups of more than 1/WHOLE of a shard, or PIECE_ROWS rows, are cut into pieces that
-are placed like groups.  Slots number the rows of a shard from 0 without gaps.
+Only a group that fits in no shard's residual capacity is cut, into runs of its rows of at
+most 1/WHOLE of a shard that are placed like groups.  Slots number the rows of a shard from
+0 without gaps; the rows of large groups are numbered in pieces of about PIECE_ROWS, by as
+many tasks, which has no part in where they are placed.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -50,22 +53,46 @@ def pack(sizes: np.ndarray, room: np.ndarray) -> np.ndarray:
     return shards
 
 
+def spans(sizes: np.ndarray, rows: np.ndarray, room: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(group, first row, rows, shard) of every group in order; ``room`` is changed in place.  A group stays
+    whole where a shard has room for it or it is at most 1/FINE of one; its rows are all alike."""
+    out = []
+    for i, (own, n) in enumerate(zip(sizes, rows.tolist(), strict=True)):
+        fits = (room >= own - 1e-9).all(axis=1)
+        if n < 2 or fits.any() or own.max() <= 1 / FINE:
+            value = room @ (own * WEIGHTS)
+            best = int(np.argmax(np.where(fits, value, -np.inf) if fits.any() and own.max() > 1 / FINE else value))
+            room[best] -= own
+            out.append((i, 0, n, best))
+            continue
+        cuts = np.linspace(0, n, min(n, math.ceil(own.max() * WHOLE)) + 1).astype(np.int64)
+        runs = np.diff(cuts)
+        for first, m, shard in zip(cuts.tolist(), runs.tolist(), pack(own * (runs / n)[:, None], room).tolist(), strict=False):
+            out.append((i, first, m, shard))
+    return out
+
+
 def place_level(items: DataFrame, cells: int, room: np.ndarray, capacity: np.ndarray) -> DataFrame:
-    """Pack the items of one level; adds shard, cell and the rows that the cell put there before each."""
+    """Pack the groups of one level; adds each run's first row, rows, shard, cell and the rows that the
+    cell put there before it."""
 
     def cell_of(pdf: pd.DataFrame) -> pd.DataFrame:
         sizes = pdf[["bytes", "tokens", "rows"]].to_numpy(dtype=float) / capacity
-        order = np.lexsort((pdf["piece"], pdf["grp"].map(bytes), -(sizes @ WEIGHTS)))
+        order = np.lexsort((pdf["grp"].map(bytes), -(sizes @ WEIGHTS)))
         pdf, sizes = pdf.iloc[order].reset_index(drop=True), sizes[order]
-        pdf["shard"] = pack(sizes, room / cells)
-        pdf["before"] = pdf.groupby("shard")["rows"].cumsum() - pdf["rows"]
-        return pdf[["grp", "piece", "level", "cell", "shard", "before", "rows", "bytes", "tokens"]]
+        at, first, n, shard = (np.array(c) for c in zip(*spans(sizes, pdf["rows"].to_numpy(), room / cells), strict=True))
+        out = pdf.iloc[at].reset_index(drop=True)
+        for side in ("bytes", "tokens"):
+            out[side] = out[side] // out["rows"] * n
+        out["first"], out["rows"], out["shard"] = first, n, shard
+        out["before"] = out.groupby("shard")["rows"].cumsum() - out["rows"]
+        return out[["grp", "first", "level", "cell", "shard", "before", "rows", "bytes", "tokens"]]
 
     return (
-        items.withColumn("cell", F.pmod(F.xxhash64("grp", "piece"), F.lit(cells)))
+        items.withColumn("cell", F.pmod(F.xxhash64("grp"), F.lit(cells)))
         .groupBy("cell")
         .applyInPandas(
-            cell_of, "grp binary, piece int, level int, cell long, shard int, before long, rows long, bytes long, tokens long"
+            cell_of, "grp binary, first long, level int, cell long, shard int, before long, rows long, bytes long, tokens long"
         )
     )
 
@@ -101,7 +128,8 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", te
         .drop("pieces", "at"),
         "parted",
     )
-    items, _ = store(parted.groupBy("grp", "piece").agg(*sums), "items")
+    numbered, _ = store(parted.groupBy("grp", "piece").agg(*sums), "pieces")
+    items, _ = store(numbered.groupBy("grp").agg(*[F.sum(s).alias(s) for s in SIDES]), "items")
     last = max(1, -(-items.count() // CELL))
     cells = [1]
     while cells[-1] * SPLIT < last:
@@ -124,9 +152,20 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", te
         .withColumn("offset", F.coalesce(F.sum("own").over(ahead), F.lit(0)))
         .drop("own")
     )
-    starts = everything.join(offsets, ["shard", "level", "cell"]).select(
-        "grp", "piece", "shard", (F.col("offset") + F.col("before")).alias("start")
+    runs = everything.join(offsets, ["shard", "level", "cell"]).select(
+        "grp", "first", F.col("rows").alias("n"), "shard", (F.col("offset") + F.col("before")).alias("start")
     )
-    return parted.join(starts, ["grp", "piece"]).select(
-        "doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("number") - 1).alias("slot")
+    earlier = Window.partitionBy("grp").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = numbered.select("grp", "piece", "rows", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("ahead"))
+    starts = (
+        ranges.join(runs, "grp")  # a piece meets the runs that its rows are in, by their numbers within the piece
+        .select(
+            "grp", "piece", "shard", F.greatest(F.col("first") - F.col("ahead"), F.lit(0)).alias("low"),
+            F.least(F.col("first") + F.col("n") - F.col("ahead"), F.col("rows")).alias("high"), (F.col("start") + F.col("ahead") - F.col("first")).alias("base"),
+        )
+        .filter("low < high")
+    )
+    inside = (F.col("number") > F.col("low")) & (F.col("number") <= F.col("high"))
+    return parted.join(starts.withColumnsRenamed({"grp": "own", "piece": "part"}), (F.col("grp") == F.col("own")) & (F.col("piece") == F.col("part")) & inside).select(
+        "doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("number") - 1).alias("slot")
     )

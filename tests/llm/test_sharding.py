@@ -58,3 +58,24 @@ def test_odd_rows(odd_docs, no_docs):
     check(rows, [(r.doc_id, r.text) for r in odd_docs.collect()])
     assert sorted((r["size"], r.text_crc32) for r in rows)[:3] == [(16, 0)] * 3
     assert shard_rows(no_docs).count() == 0
+
+
+def test_groups_that_fit_stay_whole(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "PIECE_ROWS", 7)  # rows are numbered in many pieces
+    docs = [(i, f"text {i} " + "x" * (i % 50)) for i in range(600)] + [(2000 + i, "half a shard") for i in range(150)]
+    docs += [(3000 + i, "more than a shard") for i in range(500)]
+    rows = shard_rows(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), shards=4).collect()
+    check(rows, docs)
+    text, places = dict(docs), {}
+    for r in rows:
+        places.setdefault(text[r.doc_id], set()).add(r.shard)
+    assert all((len(p) > 1) == (t == "more than a shard") for t, p in places.items())
+    sizes = np.bincount([r.shard for r in rows], [r["size"] for r in rows])
+    assert sizes.max() < 1.03 * sizes.mean()
+
+
+def test_groups_without_room_are_cut():
+    room = np.ones((2, 3))  # three groups of 0.6 fit in two shards only in parts
+    found = sharding.spans(np.full((3, 3), 0.6), np.array([600, 600, 600]), room)
+    assert [(g, n) for g, _, n, _ in found[:2]] == [(0, 600), (1, 600)] and sum(n for g, _, n, _ in found[2:]) == 600 and len(found) == 5
+    assert np.abs(room[0] - room[1]).max() < 0.21
