@@ -7,8 +7,12 @@ a tag weighs the log odds of standing inside a labelled article rather than outs
 above zero, and so does a word by whether it is a link, never below zero unless it is one.
 
 Elements that are no content by their name, role, class or id (menus, adverts, comments and
-so on, see BARRED and BARRED_NAMES) are no part of the sequence.  Where the region lies in
-an article or main element, all of that element's content counts.
+so on, see BARRED and BARRED_NAMES) are no part of the sequence.  A class, id or role tells
+that only if it consists of such names and of words for parts of a page (HELPERS).  No element
+is left out that holds an article or main element; nor is one, forms included, for its names
+if it holds most of the page's words, unless they are comments.  Pages of which nothing would
+be left are read again without names.  Where the region lies in an article or main element,
+all of that element's content counts.
 
 Text is taken in page order: character references are decoded, white space within a block
 becomes one space, blocks are joined by line feeds, empty ones vanish.  A null or empty page
@@ -51,11 +55,19 @@ BARRED_NAMES = frozenset(
     "comment comments commentlist respond reply replies disqus discussion copyright legal pagination pager skip search searchbox "
     "complementary contentinfo navigation tags taglist byline-links outbrain taboola hidden".split()
 )
+COMMENTS = frozenset("comment comments commentlist respond reply replies disqus discussion".split())
+HELPERS = frozenset(
+    "area bar block bottom box button buttons col column container content desktop div fixed group inner item items left link links list "
+    "main mobile outer panel post posts primary right row secondary section site slot sticky title top unit wrap wrapper".split()
+)
+WRAPPERS = frozenset("form fieldset label".split())
 
 # Attributes; quotes enclose a value only behind an equals sign.
 REST = r"""(?:[^>=]|=\s*(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*)?)*"""
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    # Foreign elements that close themselves; the slash of an unquoted value is part of the value.
+    r"""|<(?:svg|math|iframe|object)(?=[\s/>])(?:[^>=/]|/(?!>)|=\s*(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*)?)*+/>"""
     r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])" + REST + r">.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>" + REST + r")(?:>|\Z)"
     r"|(?P<text>[^<]+|<)",
@@ -83,19 +95,24 @@ def read(page: str) -> list[Token]:
     return out
 
 
-def barred(name: str, rest: str, at_home: bool) -> bool:
-    """Whether an element is no content; headers count as content inside an article or main element."""
+def barred(name: str, rest: str, at_home: bool) -> str:
+    """Why an element is no content, or nothing: element, wrapper, comments or name; headers count as content
+    inside an article or main element."""
+    if name in WRAPPERS:
+        return "wrapper"
     if name in BARRED or name == "header" and not at_home:
-        return True
+        return "element"
     if not rest or name in ("html", "body", *HOMES):
-        return False
+        return ""
     if HIDDEN.search(rest):
-        return True
+        return "name"
     for groups in NAMED.findall(rest):
-        parts = PART.split(CAMEL.sub(" ", next(filter(None, groups), "")).lower())
-        if any(p in BARRED_NAMES and not (at_home and p == "header") for p in parts):
-            return True
-    return False
+        for told in next(filter(None, groups), "").split():
+            parts = [p for p in PART.split(CAMEL.sub(" ", told).lower()) if p and not p.isdigit()]
+            names = [p for p in parts if p in BARRED_NAMES and not (at_home and p == "header")]
+            if names and all(p in names or p in HELPERS for p in parts):
+                return "comments" if COMMENTS.intersection(names) else "name"
+    return ""
 
 
 def span_end(tokens: list[Token], start: int, ends: dict[str, list[int]]) -> int | None:
@@ -120,24 +137,32 @@ def span_end(tokens: list[Token], start: int, ends: dict[str, list[int]]) -> int
     return len(tokens) if name == "p" else None
 
 
-def content(tokens: list[Token]) -> tuple[list[bool], list[tuple[int, int]]]:
+def content(tokens: list[Token], by_name: bool = True) -> tuple[list[bool], list[tuple[int, int]]]:
     """Which tokens are not inside a barred element, and the spans of article and main elements."""
     ends: dict[str, list[int]] = {}
+    words, homes_before, linked = [0], [0], False  # unlinked words and homes before each token
     for i, (kind, name, _) in enumerate(tokens):
         if kind == "close":
             ends.setdefault(name, []).append(i)
+        if name == "a" and kind != "word":
+            linked = kind == "open"
+        words.append(words[-1] + (len(name.split()) if kind == "word" and not linked else 0))
+        homes_before.append(homes_before[-1] + (kind == "open" and name in HOMES))
     keep, homes, inside = [True] * len(tokens), [], []
     i = 0
     while i < len(tokens):
         kind, name, rest = tokens[i]
         inside = [end for end in inside if end > i]
         if kind == "open":
-            if barred(name, rest, bool(inside)):
+            why = barred(name, rest, bool(inside))
+            if why and (by_name or why == "element"):
                 end = span_end(tokens, i, ends)
                 if end is not None:
-                    keep[i:end] = [False] * (end - i)
-                    i = end
-                    continue
+                    most = why in ("wrapper", "name") and 2 * (words[end] - words[i]) > words[-1]
+                    if not most and homes_before[end] == homes_before[i]:
+                        keep[i:end] = [False] * (end - i)
+                        i = end
+                        continue
             elif name in HOMES:
                 end = span_end(tokens, i, ends) or len(tokens)
                 homes.append((i, end))
@@ -191,9 +216,12 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 def main_text(page: str, weights: dict[str, float]) -> str:
     tokens = read(page)
-    keep, homes = content(tokens)
-    scores = [weights.get(f, weights["tag"]) * n if k else 0.0 for (f, n), k in zip(kinds(tokens), keep, strict=True)]
-    start, end = best_run(scores)
+    for by_name in (True, False):
+        keep, homes = content(tokens, by_name)
+        scores = [weights.get(f, weights["tag"]) * n if k else 0.0 for (f, n), k in zip(kinds(tokens), keep, strict=True)]
+        start, end = best_run(scores)
+        if end:
+            break
     whole = sum(s for s in scores[start:end] if s > 0)
     around = [
         (b - a, a, b) for a, b in homes if sum(s for s in scores[max(a, start) : min(b, end)] if s > 0) >= 0.7 * whole > 0

@@ -70,3 +70,33 @@ def test_odd_rows(spark):
         rows = with_main_text(pages, learn_weights(given)).collect()
         assert sorted(r.text for r in rows) == ["", "", "some words", "some words"]
     assert with_main_text(pages.limit(0), DEFAULT).count() == 0
+
+
+PROSE = "<h1>A title</h1><p>" + "several words of prose " * 20 + "</p>"
+SAID = "A title\n" + ("several words of prose " * 20).strip()
+
+
+@pytest.mark.parametrize(
+    "frame",
+    ["<div class='layout has-sidebar'><article>{}</article></div>", "<div class='layout has-sidebar'>{}</div>", "<div class='sidebar'><main>{}</main></div>",
+     "<div id='social'>{}</div><p class='menu'>no</p>", "<form action=x><input type=hidden name=state>{}</form>", "<article><div class='share'>{}</div></article>",
+     "<div style='display:none'>{}</div>", "<div class=discussion>{}</div>", "<nav><a>x</a></nav><dialog><article>{}</article></dialog>"],
+)
+def test_wrappers_with_barred_names_stay(frame):
+    assert main_text(f"<html><body>{frame.format(PROSE)}</body></html>", DEFAULT) == SAID
+
+
+def test_names_of_content_in_an_article_stay():
+    page = f"<article>{PROSE}<section class='legal-text'><p>The law says so.</p></section><p class='share-of-voters'>Half of them.</p><div class='share-box'>Share it</div></article>"
+    assert main_text(page, DEFAULT) == SAID + "\nThe law says so.\nHalf of them."
+
+
+def test_long_comments_without_an_article_go():
+    page = f"<div>{PROSE}</div><div id='comments'>" + "<p class=comment>words of a reader again and again</p>" * 60 + "</div>"
+    assert main_text(page, DEFAULT) == SAID
+
+
+@pytest.mark.parametrize("element", ["<svg class=a />", "<svg/>", "<iframe src='x'/>", "<object data=\"a/>b\" />", "<math/>", "<svg hidden/>"])
+def test_closed_foreign_elements_swallow_nothing(element):
+    assert main_text(f"<p>one two {element}three</p><p>four five six</p>", DEFAULT) == "one two three\nfour five six"
+    assert main_text("<p>one <iframe src=http://a.b/>inner</iframe>two</p><svg><text>no</text></svg>", DEFAULT) == "one two"
