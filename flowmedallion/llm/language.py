@@ -221,7 +221,8 @@ def with_languages(df: DataFrame, model: Languages, text: str = "text") -> DataF
 
 
 def keep_known(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", least: float = 0.4) -> DataFrame:
-    """The documents in which one language holds at least the share ``least``, with the columns they had.
+    """The documents in which one language holds at least the share ``least`` of the text's language set, with the
+    columns they had; the number of learned languages has no part in that, as it has in ``score``.
 
     Learns from the labelled documents of the same frame whose id is not held out; without any,
     nothing is judged and every document stays.
@@ -230,4 +231,4 @@ def keep_known(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id:
     if not model.names:
         return docs
     judged = with_languages(numbered(docs), model, place(docs, text))
-    return restored(judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)), docs)
+    return restored(judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("langs")[F.col("lang_pred")] >= least)), docs)

@@ -62,3 +62,10 @@ def test_odd_rows(odd_docs, no_docs):
     assert keep_known(no_docs).count() == 0
     nothing = learn_languages(no_docs)
     assert {r.lang_pred for r in with_languages(odd_docs, nothing).collect()} == {"und"}
+
+
+def test_short_clean_texts_stay_among_many_languages(spark):
+    texts = {f"l{i:02}": " ".join(chr(0x4E00 + 30 * i + k) * 3 for k in range(12)) for i in range(40)}
+    rows = [(n, text, lang) for n, (lang, text) in enumerate((lang, text) for lang, text in texts.items() for _ in range(8))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert keep_known(docs).count() == len(rows)
