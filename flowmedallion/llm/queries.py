@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmedallion.llm import licenses, pitman_yor
+from flowmedallion.llm import divergence, licenses, pitman_yor, sketches
 from flowmedallion.llm.decontaminate import contained_items
 from flowmedallion.llm.html_text import learn_weights, with_main_text
 from flowmedallion.llm.language import held_out, learn_languages, with_languages
 from flowmedallion.llm.pieces import encode_texts
 from flowmedallion.llm.quality import BASE, fit_rules, judge
+from flowmedallion.llm.runs import with_runs
 from flowmedallion.llm.sharding import shard_rows
 from flowmedallion.llm.simhash import near_duplicate_classes
+from flowmedallion.llm.sketches import let
 from flowmedallion.llm.url_rules import judge_urls, page_links
 from flowmedallion.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
@@ -156,3 +158,134 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_license_scan", licenses.scan_sql())
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the documents, of which every tenth (by its id's checksum) has a repetition laid into it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    draw = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    place = F.floor(draw / 10).cast("long")
+
+    def laid(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        start = F.pmod(place, n)
+        period = 1 + F.floor((n - start) / (3 + F.pmod(place, F.lit(8)))).cast("long")
+        at = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < start, i).otherwise(start + F.pmod(i - start, period)))
+        return F.when(n > 0, F.array_join(F.transform(at, lambda i: F.get(words, i.cast("int"))), " ")).otherwise("")
+
+    changed = let(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""), laid)
+    texts = docs.select("doc_id", F.when(F.pmod(draw, F.lit(10)) == 0, changed).otherwise(F.col("text")).alias("text"))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return (
+        with_runs(texts)
+        .withColumn("best", best)
+        .select(
+            "doc_id", F.size("runs").cast("long").alias("n_runs"),
+            (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+            F.floor(1000 * F.col("best.length") / -F.col("best.period")).cast("long").alias("exponent_milli"),
+            F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+        )
+    )
+
+
+OP12_SQL = r"""
+with d as (
+  select doc_id, coalesce(text, '') as text from documents
+), o as (
+  select doc_id, text, coalesce(lead(text) over (order by doc_id, text), first(text) over (order by doc_id, text)) as behind
+  from d where doc_id is not null
+  union all select doc_id, text, null from d where doc_id is null
+), e as (
+  select row_number() over () as nr, doc_id, text, behind,
+    substring(text, 1, length(text) - length(text) // 4) || coalesce(substring(behind, 1, length(text) // 4), '') as edited from o
+), words as (
+  select nr, kind, list_filter(regexp_split_to_array(lower(t), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
+  from (select nr, unnest(['own', 'next', 'edited']) as kind, unnest([text, behind, edited]) as t from e) where t is not null
+), hashes as (
+  select distinct nr, kind, left(md5(array_to_string(w[p:p+4], ' ')), 12) as h
+  from (select nr, kind, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as p from words where len(w) > 0)
+), ranked as (
+  select nr, kind, h, row_number() over (partition by nr, kind order by h) as r from hashes
+), sketches as (
+  select nr, kind, string_agg(h, '' order by h) as print, count(*) as n, max(h) as last from ranked where r <= 128 group by nr, kind
+), unions as (
+  select nr, 'edited' as other, h, count(*) as n from ranked where r <= 128 and kind in ('own', 'edited') group by nr, h
+  union all
+  select nr, 'next', h, count(*) from ranked where r <= 128 and kind in ('own', 'next') group by nr, h
+), near as (
+  select nr, other, count(*) filter (n = 2) / count(*) as near
+  from (select *, row_number() over (partition by nr, other order by h) as r from unions) where r <= 128 group by nr, other
+), low as (
+  select r.nr, count(*) as n, count(*) filter (exists (select 1 from ranked x where x.nr = r.nr and x.kind = 'edited' and x.h = r.h and x.r <= 128)) as found
+  from ranked r left join (select nr, case when n < 128 then 'g' else last end as bound from sketches where kind = 'edited') b on r.nr = b.nr
+  where r.kind = 'own' and r.r <= 128 and r.h <= coalesce(b.bound, 'g')
+    and r.h <= (select case when n < 128 then 'g' else last end from sketches s where s.nr = r.nr and s.kind = 'own') group by r.nr
+)
+select e.doc_id, length(e.text) as n_chars, sha256(e.edited) as edited_sha256,
+  coalesce(own.print, '') as fingerprint, coalesce(ed.print, '') as edited_fingerprint,
+  coalesce(ne.near, 1.0)::double as near_edited, case when e.behind is null then null else coalesce(nn.near, 1.0) end::double as near_next,
+  case when own.n is null then 1.0 else coalesce(low.found / low.n, 0.0) end::double as kept_share,
+  (coalesce(own.n, 0) < 128) as whole
+from e left join sketches own on own.nr = e.nr and own.kind = 'own' left join sketches ed on ed.nr = e.nr and ed.kind = 'edited'
+left join near ne on ne.nr = e.nr and ne.other = 'edited' left join near nn on nn.nr = e.nr and nn.other = 'next'
+left join low on low.nr = e.nr
+"""
+
+
+@query("op12_document_fingerprints", OP12_SQL)
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sketches.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    own, changed, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return found.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        sketches.printed(own).alias("fingerprint"), sketches.printed(changed).alias("edited_fingerprint"),
+        sketches.resemblance(own, changed).alias("near_edited"),
+        F.when(following.isNotNull(), sketches.resemblance(own, following)).alias("near_next"),
+        sketches.containment(own, changed).alias("kept_share"), (F.size(own) < sketches.KEPT).alias("whole"),
+    )
+
+
+OP13_SQL = r"""
+with d as (
+  select row_number() over () as nr, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents
+), t as (
+  select nr, lang, source, unnest(w) as term from d
+), kept as (
+  select lang, term, count(*) as c from t group by lang, term having count(distinct nr) >= 30
+), langs as (
+  select lang, count(*) as v, sum(c)::bigint as n from kept group by lang
+), pools as (
+  select distinct lang, source from d
+), counts as (
+  select lang, source, term, count(*) as c from t group by all
+), cells as (
+  select g.lang, g.source, k.term, coalesce(c.c, 0) as c, k.c as lang_c from pools g join kept k using (lang)
+  left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term
+), sizes as (
+  select lang, source, sum(c)::bigint as n from cells group by all
+), p as (
+  select lang, source, term, c, (1 + 1000000000 * (c + 5)::hugeint // (s.n + 5 * l.v))::bigint as p,
+    (1 + 1000000000 * (lang_c + 5)::hugeint // (l.n + 5 * l.v))::bigint as q
+  from cells join sizes s using (lang, source) join langs l using (lang)
+), parts as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(x.value, 0) as value
+  from pools a join pools b on a.lang = b.lang and a.source <> b.source
+  left join (select a.lang, a.source, b.source as item, sum(abs(a.p - b.p))::bigint as value
+             from p a join p b on a.lang = b.lang and a.term = b.term group by all) x
+    on x.lang = a.lang and x.source = a.source and x.item = b.source
+  union all
+  select lang, source, 'term', term, p - q from p where c > 0 and p > q
+), ranked as (
+  select *, (row_number() over (partition by lang, source, part order by value desc, item))::int as rank from parts
+)
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 50
+"""
+
+
+@query("op13_source_divergence", OP13_SQL)
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
