@@ -58,7 +58,7 @@ def run_full_evaluation(
     counts = materialize(curves.running_counts(scored), "running-counts")
 
     by_day = materialize(prepare_temporal_split(gold, sample_size, key_cols, seed), "temporal")
-    temporal_model = learning.fit_boosted(part(by_day, TRAIN), feature_names(gold), seed=seed, **boosted)
+    temporal_model = learning.fit_boosted(part(by_day, TRAIN), feature_names(gold), **boosted)
     scored_by_day = materialize(learning.score(temporal_model, part(by_day, TEST)), "scored-temporal")
 
     protocol_metrics = runs.evaluate(scored).select(
