@@ -9,9 +9,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowmedallion.operators import reports
 from flowmedallion.operators.profiling import layer_counts
+from flowmedallion.operators.schema import align_to_schema
 from flowmedallion.plans.layers import clean_bronze_to_silver, constants_of, transform_silver_to_gold
 from flowmedallion.sources.readers import ingest_multi_day
-from flowmedallion.sources.tables import append_table, get_property, set_property, write_table
+from flowmedallion.sources.tables import (
+    LOAD_ID,
+    append_table,
+    get_property,
+    overwrite_partitions,
+    partition_rows,
+    replace_table,
+    set_property,
+    table_partitions,
+    write_table,
+)
 
 CONSTANTS = "flowmedallion.constants"
 """Table property: the columns that the load dropped as constant, with their values as text."""
@@ -31,22 +42,32 @@ class Layers:
 
 
 def load_layers(
-    spark: SparkSession, bronze: DataFrame, layers: Layers, label_col: str = "label", fmt: str = "parquet"
+    spark: SparkSession,
+    bronze: DataFrame,
+    layers: Layers,
+    label_col: str = "label",
+    fmt: str = "parquet",
+    load_id: str | None = None,
 ) -> DataFrame:
     """Write bronze, silver and gold; each layer is read back from its table.
 
     Gold is partitioned by day, so that the temporal split and reports by day
-    read only the days they need.
+    read only the days they need, and, with a ``load_id``, by load as well, so that
+    increments can be repeated.
     """
 
-    def store(df: DataFrame, name: str) -> DataFrame:
+    def store(df: DataFrame, name: str, more: tuple[str, ...] = ()) -> DataFrame:
         days = ("day_of_week",) if "day_of_week" in df.columns else ()
-        write_table(df, name, fmt=fmt, path=layers.path(name), partition_by=days)
+        write_table(df, name, fmt=fmt, path=layers.path(name), partition_by=(*days, *more))
         return spark.read.table(name)
 
     stored_bronze = store(bronze, layers.bronze)
     silver = store(clean_bronze_to_silver(stored_bronze, label_col=label_col), layers.silver)
-    gold = store(transform_silver_to_gold(silver, label_col), layers.gold)
+    features = transform_silver_to_gold(silver, label_col)
+    if load_id is None:
+        gold = store(features, layers.gold)
+    else:
+        gold = store(features.withColumn(LOAD_ID, F.lit(load_id)), layers.gold, (LOAD_ID,))
     dropped = [c for c in stored_bronze.columns if c not in silver.columns]
     set_property(spark, layers.gold, CONSTANTS, json.dumps(constants_of(stored_bronze, dropped, label_col)))
     return gold
@@ -83,34 +104,71 @@ def layer_reports(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
     return found
 
 
-def increment_to_gold(new_rows: DataFrame, gold_table: str, label_col: str = "label") -> DataFrame:
+def varying_columns(silver: DataFrame, extra: list[str], known: dict | None, gold_table: str) -> list[str]:
+    """Those of the columns that the table lacks which are more than the constant they were (one aggregate)."""
+    if not extra:
+        return []
+    texts = {c: F.col(f"`{c}`").cast("string") for c in extra}
+    if known is not None:
+        differs = {c: F.lit(True) if c not in known else ~texts[c].eqNullSafe(F.lit(known[c])) for c in extra}
+        found = silver.agg(*[F.max(differs[c]).alias(c) for c in extra]).first()
+    else:
+        spread = lambda x: F.count_distinct(x) + F.max(x.isNull().cast("int")) > 1
+        found = silver.agg(*[spread(texts[c]).alias(c) for c in extra]).first()
+    return [c for c in extra if found[c]]
+
+
+def take_in(gold_table: str, silver: DataFrame, columns: list[str], known: dict, label_col: str) -> None:
+    """Give the table columns that it dropped as constant, filled with their value, and work its features out anew."""
+    spark = silver.sparkSession
+    table = spark.read.table(gold_table)
+    filled = table.withColumns({c: F.lit(known[c]).cast(silver.schema[c].dataType) for c in columns})
+    replace_table(transform_silver_to_gold(filled, label_col), gold_table)
+    rest = {c: value for c, value in known.items() if c not in columns}
+    set_property(spark, gold_table, CONSTANTS, json.dumps(rest))
+
+
+def increment_to_gold(new_rows: DataFrame, gold_table: str, label_col: str = "label", evolve: bool = False) -> DataFrame:
     """New Bronze rows through cleaning and features, on the columns that the table was built from.
 
     Columns that the table dropped as constant must still hold their one value (where it
     is not on record, one value within the increment), and there may be no other column
     that the table lacks: such an increment is refused, because its features and values
-    would not mean what the table's mean.  Load the layers anew to take such columns in.
+    would not mean what the table's mean.  With ``evolve``, columns whose constant is on record are taken
+    into the table first: its rows get the constant, and all features are worked out again.
     """
     spark = new_rows.sparkSession
     table = spark.read.table(gold_table)
     silver = clean_bronze_to_silver(new_rows, label_col=label_col, drop_constants=False)
     extra = [c for c in silver.columns if c not in table.columns]
     recorded = get_property(spark, gold_table, CONSTANTS)
-    if extra:
-        texts = {c: F.col(f"`{c}`").cast("string") for c in extra}
-        if recorded is not None:
-            known = json.loads(recorded)
-            differs = {c: F.lit(True) if c not in known else ~texts[c].eqNullSafe(F.lit(known[c])) for c in extra}
-            found = silver.agg(*[F.max(differs[c]).alias(c) for c in extra]).first()
-        else:
-            spread = lambda x: F.count_distinct(x) + F.max(x.isNull().cast("int")) > 1
-            found = silver.agg(*[spread(texts[c]).alias(c) for c in extra]).first()
-        changed = [c for c in extra if found[c]]
-        if changed:
-            raise ValueError(f"columns that {gold_table} does not have vary now: {', '.join(changed)}")
+    known = None if recorded is None else json.loads(recorded)
+    changed = varying_columns(silver, extra, known, gold_table)
+    if evolve and known is not None and changed and set(changed) <= set(known):
+        take_in(gold_table, silver, changed, known, label_col)
+        extra = [c for c in extra if c not in changed]
+    elif changed:
+        raise ValueError(f"columns that {gold_table} does not have vary now: {', '.join(changed)}")
     return transform_silver_to_gold(silver.drop(*extra), label_col)
 
 
-def append_increment(new_rows: DataFrame, gold_table: str, label_col: str = "label") -> None:
-    """Append new Bronze rows to the Gold table, in the columns of that table."""
-    append_table(increment_to_gold(new_rows, gold_table, label_col), gold_table, drop_extra=True)
+def append_increment(
+    new_rows: DataFrame, gold_table: str, label_col: str = "label", evolve: bool = False, load_id: str | None = None
+) -> None:
+    """Append new Bronze rows to the Gold table, in the columns of that table.
+
+    With a ``load_id``, for a table that is partitioned by load, an increment that is repeated replaces
+    its own rows, whatever part of an earlier run was written.
+    """
+    spark = new_rows.sparkSession
+    by_load = LOAD_ID in table_partitions(spark, gold_table)
+    if by_load != (load_id is not None):
+        raise ValueError(f"{gold_table} is {'' if by_load else 'not '}partitioned by load, so it {'needs' if by_load else 'takes no'} load_id")
+    rows = increment_to_gold(new_rows, gold_table, label_col, evolve)
+    if load_id is None:
+        append_table(rows, gold_table, drop_extra=True)
+        return
+    table = spark.read.table(gold_table)
+    own = {tuple(row) for row in partition_rows(table.filter(F.col(LOAD_ID) == load_id), table_partitions(spark, gold_table))}
+    aligned = align_to_schema(rows.withColumn(LOAD_ID, F.lit(load_id)), table.schema, drop_extra=True)
+    overwrite_partitions(aligned, gold_table, own)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from flowmedallion.operators import reports
 from flowmedallion.plans.layers import clean_bronze_to_silver, transform_silver_to_gold
-from flowmedallion.plans.multiday import Layers, append_increment, layer_reports, load_multi_day
+from flowmedallion.plans.multiday import Layers, append_increment, layer_reports, load_layers, load_multi_day
 from flowmedallion.queries import adapter as A
 from flowmedallion.queries.cleaning_queries import _messy
 from flowmedallion.queries.registry import query
@@ -216,6 +218,40 @@ def _loads(spark, sf) -> str:
     return path
 
 
+def _priced(sf_orders, statuses, more):
+    return sf_orders.filter(F.col("o_orderstatus").isin(*statuses)).withColumn("o_totalprice", F.col("o_totalprice") + more)
+
+
+@query(
+    "as_of_update",
+    f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, {A.text_sql('o_orderdate')} AS o_orderdate, load, price FROM orders,
+        LATERAL (SELECT unnest([1, 2, 3]) AS load,
+                 unnest([o_totalprice, CASE WHEN o_orderstatus = 'O' THEN o_totalprice + 1 ELSE o_totalprice END,
+                         CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE o_totalprice + 2 END]) AS price)
+        WHERE load = 3 OR o_orderstatus <> 'P'""",
+)
+def _as_of_update(spark, sf):
+    """Orders after each of three loads; the second updates, the third updates and adds and is run twice."""
+    path, orders = scratch_path(spark, "validity"), A.table(spark, sf, "orders")
+    tables.upsert_load(_priced(orders, ("F", "O"), 0), path, 1, ["o_orderkey"])
+    tables.upsert_load(_priced(orders, ("O",), 1), path, 2, ["o_orderkey"])
+    for _ in range(2):
+        tables.upsert_load(_priced(orders, ("O", "P"), 2), path, 3, ["o_orderkey"])
+    table = spark.read.parquet(path)
+    states = [tables.as_of_upsert(table, load).withColumn("load", F.lit(load)) for load in (1, 2, 3)]
+    return _text_date(reduce(lambda a, b: a.unionByName(b), states)).withColumnRenamed("o_totalprice", "price")
+
+
+@query("upsert_by_partition", _UPSERTED)
+def _upsert_by_partition(spark, sf):
+    """The merge into a table with partitions, of which only some are touched."""
+    name = "flowmedallion_upsert_partitions"
+    target, source = _upsert_sides(spark, sf)
+    tables.write_table(target, name, path=scratch_path(spark, "upsert"), partition_by=("event_type",))
+    tables.upsert_table(source, name, ["event_id"])
+    return spark.read.table(name).withColumn("ts", A.as_text("ts"))
+
+
 @query(
     "as_of_load",
     f"{_ORDERS} WHERE o_orderstatus IN ('F', 'O')",
@@ -292,3 +328,26 @@ def _incremental_append(spark, sf):
         .groupBy("day_of_week", "label", "is_attack")
         .agg(F.count("*").alias("row_count"), F.sum("total_packets").alias("packets"))
     )
+
+
+@query(
+    "incremental_repeat",
+    A.on_gold(
+        """SELECT day_of_week, label, is_attack, count(*) AS row_count, CAST(sum(total_packets) AS BIGINT) AS packets,
+             CAST(sum(CASE WHEN day_of_week IN ('Thursday', 'Friday') THEN 7 ELSE 0 END) AS BIGINT) AS newcomer
+           FROM gold GROUP BY ALL"""
+    ),
+)
+def _incremental_repeat(spark, sf):
+    """Like incremental_append, but a column that was constant begins to vary, and the increment is run twice."""
+    layers = Layers("flowmedallion_repeat_bronze", "flowmedallion_repeat_silver", "flowmedallion_repeat_gold", scratch_path(spark, "repeat"))
+    flows = A.flows(spark, sf)
+    late = F.col("day_of_week").isin("Thursday", "Friday")
+    load_layers(spark, flows.filter(~late).withColumn("newcomer", F.lit(0)), layers, load_id="first")
+    for _ in range(2):
+        append_increment(flows.filter(late).withColumn("newcomer", F.lit(7)), layers.gold, evolve=True, load_id="late")
+    return (
+        spark.read.table(layers.gold)
+        .groupBy("day_of_week", "label", "is_attack")
+        .agg(F.count("*").alias("row_count"), F.sum("total_packets").alias("packets"), F.sum("newcomer").alias("newcomer"))
+    )

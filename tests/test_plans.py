@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowmedallion.plans.layers import clean_bronze_to_silver, transform_silver_to_gold
-from flowmedallion.plans.multiday import Layers, append_increment, layer_reports, load_multi_day
+from flowmedallion.plans.multiday import Layers, append_increment, layer_reports, load_layers, load_multi_day
 from flowmedallion.sources.tables import write_table
 
 
@@ -56,3 +56,22 @@ def test_increment_to_a_table_without_a_record(spark, bronze, flag, refused):
 
 def test_gold_keeps_every_row(spark, bronze):
     assert transform_silver_to_gold(bronze).count() == bronze.count()
+
+
+def test_increment_with_a_new_flag_is_taken_in_and_can_be_repeated(spark, bronze, tmp_path):
+    layers = Layers("evolve_bronze", "evolve_silver", "evolve_gold", str(tmp_path / "layers"))
+    load_layers(spark, bronze.withColumn("cwr_flag_count", F.lit(2)), layers, load_id="first")
+    before = {r["port"]: r for r in spark.read.table("evolve_gold").collect()}
+    assert "cwr_flag_count" not in next(iter(before.values())).asDict()
+    new = bronze.withColumn("cwr_flag_count", F.col("protocol"))
+    with pytest.raises(ValueError, match="load_id"):
+        append_increment(new, "evolve_gold", evolve=True)
+    with pytest.raises(ValueError, match="cwr_flag_count"):
+        append_increment(new, "evolve_gold", load_id="second")
+    for _ in range(2):
+        append_increment(new, "evolve_gold", evolve=True, load_id="second")
+        rows = spark.read.table("evolve_gold").collect()
+        assert sorted(r["_load_id"] for r in rows) == ["first"] * 5 + ["second"] * 5
+        for r in rows:
+            flag = 2 if r["_load_id"] == "first" else int(r["protocol"])
+            assert r["cwr_flag_count"] == flag and r["total_flag_count"] == before[r["port"]]["total_flag_count"] + flag

@@ -287,3 +287,53 @@ def test_scratch_space_is_the_checkpoint_folder(spark):
     frame = materialize(spark.range(3), "three")
     assert all(scratch_root(spark) in f for f in frame.inputFiles()) and frame.count() == 3
     assert create_spark_session("again") is not None
+
+
+def test_merge_leaves_other_partitions_alone(spark, tmp_path):
+    base = spark.createDataFrame([(1, "a", "mon"), (2, "b", "tue"), (3, "c", "tue"), (4, "d", "it's"), (5, "e", None)], "k int, v string, day string")
+    folder = tmp_path / "days"
+    tables.write_table(base, "merge_days", path=str(folder), partition_by=("day",))
+    tables.set_property(spark, "merge_days", "own.note", "it's kept")
+    files = {day: sorted(p.name for p in folder.glob(f"day={day}/part-*")) for day in ("mon", "tue")}
+    # 2 is updated, 4 moves and empties its day, 9 opens a day, 5 lies in the null partition
+    new = spark.createDataFrame([(2, "B", "tue"), (4, "D", "tue"), (9, "z", "wed"), (5, "E", None)], "k int, v string, day string")
+    for _ in range(2):
+        tables.upsert_table(new, "merge_days", ["k"])
+        rows = sorted(map(tuple, spark.read.table("merge_days").collect()))
+        assert rows == [(1, "a", "mon"), (2, "B", "tue"), (3, "c", "tue"), (4, "D", "tue"), (5, "E", None), (9, "z", "wed")]
+    assert files["mon"] == sorted(p.name for p in folder.glob("day=mon/part-*"))
+    assert files["tue"] != sorted(p.name for p in folder.glob("day=tue/part-*"))
+    assert not any("it's" in str(r[0]) for r in spark.sql("SHOW PARTITIONS merge_days").collect())
+    assert tables.get_property(spark, "merge_days", "own.note") == "it's kept"
+    tables.upsert_table(new.limit(0), "merge_days", ["k"])
+    assert spark.read.table("merge_days").count() == 6
+
+
+def test_replaced_table_keeps_its_properties(spark, tmp_path):
+    tables.write_table(spark.createDataFrame([(1, "a")], "k int, v string"), "noted", path=str(tmp_path / "one"))
+    tables.set_property(spark, "noted", "own.note", "x = 'y'")
+    tables.upsert_table(spark.createDataFrame([(1, "b")], "k int, v string"), "noted", ["k"], path=str(tmp_path / "two"))
+    assert tables.get_property(spark, "noted", "own.note") == "x = 'y'" and spark.read.table("noted").first()["v"] == "b"
+
+
+def test_as_of_loads_that_update(spark, tmp_path):
+    path = str(tmp_path / "validity")
+    frame = lambda rows: spark.createDataFrame(rows, "k int, v string")
+    at = lambda load: sorted(map(tuple, tables.as_of_upsert(spark.read.parquet(path), load).collect()), key=repr)
+    tables.upsert_load(frame([(1, "a"), (2, "b"), (None, "n")]), path, 1, ["k"])
+    tables.upsert_load(frame([(2, "B"), (3, "c")]), path, 2, ["k"])
+    first = [(1, "a"), (2, "b"), (None, "n")]
+    assert at(1) == first and at(2) == [(1, "a"), (2, "B"), (3, "c"), (None, "n")]
+    tables.upsert_load(frame([(1, "A"), (3, "C")]), path, 3, ["k"])
+    ended = sorted(p.name for p in (tmp_path / "validity" / "_to_load=2").glob("part-*"))
+    for rows, after in (([(3, "C2"), (None, "m")], [(1, "a"), (2, "B"), (3, "C2"), (None, "m"), (None, "n")]), ([(7, "x")], None)):
+        tables.upsert_load(frame(rows), path, 3, ["k"])  # the last load again, with other rows
+        assert at(1) == first and at(2) == [(1, "a"), (2, "B"), (3, "c"), (None, "n")]
+        assert at(3) == (after or [(1, "a"), (2, "B"), (3, "c"), (7, "x"), (None, "n")])
+    assert ended == sorted(p.name for p in (tmp_path / "validity" / "_to_load=2").glob("part-*"))
+    with pytest.raises(ValueError, match="load 3"):
+        tables.upsert_load(frame([(1, "z")]), path, 2, ["k"])
+    with pytest.raises(Exception, match="share one key"):
+        tables.upsert_load(frame([(1, "y"), (1, "z")]), path, 4, ["k"])
+    plan = tables.as_of_upsert(spark.read.parquet(path), 1)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_to_load" in plan
