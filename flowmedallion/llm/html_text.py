@@ -11,8 +11,9 @@ so on, see BARRED and BARRED_NAMES) are no part of the sequence.  A class, id or
 that only if it consists of such names and of words for parts of a page (HELPERS).  No element
 is left out that holds an article or main element; nor is one, forms included, for its names
 if it holds most of the page's words, unless they are comments.  Pages of which nothing would
-be left are read again without names.  Where the region lies in an article or main element,
-all of that element's content counts.
+be left are read again without names.  Within an article or main element tags cost nothing, at its
+borders they do.  The run decides what is content; of a run most of whose
+score lies in one article or main element, the part outside that element is cut.
 
 Text is taken in page order: character references are decoded, white space within a block
 becomes one space, blocks are joined by line feeds, empty ones vanish.  A null or empty page
@@ -24,8 +25,10 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,7 +47,10 @@ BLOCKS = frozenset(
 )
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script style noscript template textarea title iframe svg math object head select xmp noframes".split()
+RAW = "script style textarea title".split()
+"""Elements whose content is no markup; without an end tag they run to the end of the page."""
+CLOSED = frozenset("noscript template iframe svg math object head select xmp noframes".split())
+"""Elements that are no content as far as an end tag; without one, only their tag goes."""
 # Elements and words of class, id and role that are no content.
 BARRED = frozenset("nav footer aside form button menu dialog label fieldset input".split())
 BARRED_NAMES = frozenset(
@@ -73,6 +79,8 @@ TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
+CLOSING = re.compile(r"</(" + "|".join(sorted(CLOSED)) + r")\s*>", re.I)
+BODY = re.compile(r"<body(?=[\s/>])", re.I)
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""\b(?:hidden(?=[\s/>]|\Z)|aria-hidden\s*=\s*["']?true|display\s*:\s*none)""", re.I)
 PART = re.compile(r"[^a-z0-9]+")
@@ -84,14 +92,32 @@ Token = tuple[str, str, str]
 
 
 def read(page: str) -> list[Token]:
-    """Words come as runs of text between tags."""
-    out = []
-    for m in TOKEN.finditer(page):
+    """Words come as runs of text between tags.
+
+    A head ends at its end tag or at the body, whichever comes first.
+    """
+    ends: dict[str, list[int]] = {}
+    for m in CLOSING.finditer(page):
+        ends.setdefault(m[1].lower(), []).append(m.end())
+    body = BODY.search(page)
+    out, at = [], 0
+    while m := TOKEN.match(page, at):
+        at = m.end()
         if (text := m["text"]) is not None:
             out.append(("word", text, ""))
         elif m["name"]:
             name = m["name"].lower()
+            if name in CLOSED and not m["close"]:
+                known = ends.get(name, [])
+                end = known[k] if (k := bisect_right(known, at)) < len(known) else None
+                if name == "head" and body and body.start() >= at and (end is None or body.start() < end):
+                    end = body.start()
+                if end is not None:
+                    at = end
+                    continue
             out.append(("close" if m["close"] else "open", name, m["rest"]))
+        if at == len(page):
+            break
     return out
 
 
@@ -115,48 +141,48 @@ def barred(name: str, rest: str, at_home: bool) -> str:
     return ""
 
 
-def span_end(tokens: list[Token], start: int, ends: dict[str, list[int]]) -> int | None:
-    """The place after the element that opens at ``start``; None if nothing closes it."""
-    name = tokens[start][1]
-    if name in VOID:
-        return start + 1
-    if not ends.get(name) or ends[name][-1] < start:
-        if name != "p":
-            return None
-    depth = 1
-    for i in range(start + 1, len(tokens)):
-        kind, other, _ = tokens[i]
-        if kind == "open" and name == "p" and other in BLOCKS:
-            return i  # a paragraph ends before the next block
-        if other == name and kind == "open":
-            depth += 1
-        elif other == name and kind == "close":
-            depth -= 1
-            if not depth:
-                return i + 1
-    return len(tokens) if name == "p" else None
+def element_ends(tokens: list[Token]) -> list[int | None]:
+    """For each opening token the place after its element, None if nothing closes it; one pass from the left for
+    elements, which close the latest open one of their name, and one from the right for paragraphs, which end before the next block."""
+    ends: list[int | None] = [None] * len(tokens)
+    waiting: dict[str, list[int]] = {}
+    for i, (kind, name, _) in enumerate(tokens):
+        if kind == "open":
+            if name in VOID:
+                ends[i] = i + 1
+            else:
+                waiting.setdefault(name, []).append(i)
+        elif kind == "close" and waiting.get(name):
+            ends[waiting[name].pop()] = i + 1
+    behind = len(tokens)
+    for i in range(len(tokens) - 1, -1, -1):
+        kind, name, _ = tokens[i]
+        if kind == "open" and name == "p":
+            ends[i] = behind
+        if kind == "open" and name in BLOCKS:
+            behind = i
+        elif kind == "close" and name == "p":
+            behind = i + 1
+    return ends
 
 
 def content(tokens: list[Token], by_name: bool = True) -> tuple[list[bool], list[tuple[int, int]]]:
     """Which tokens are not inside a barred element, and the spans of article and main elements."""
-    ends: dict[str, list[int]] = {}
+    ends = element_ends(tokens)
     words, homes_before, linked = [0], [0], False  # unlinked words and homes before each token
-    for i, (kind, name, _) in enumerate(tokens):
-        if kind == "close":
-            ends.setdefault(name, []).append(i)
+    for kind, name, _ in tokens:
         if name == "a" and kind != "word":
             linked = kind == "open"
         words.append(words[-1] + (len(name.split()) if kind == "word" and not linked else 0))
         homes_before.append(homes_before[-1] + (kind == "open" and name in HOMES))
-    keep, homes, inside = [True] * len(tokens), [], []
+    keep, homes, home_end = [True] * len(tokens), [], 0
     i = 0
     while i < len(tokens):
         kind, name, rest = tokens[i]
-        inside = [end for end in inside if end > i]
         if kind == "open":
-            why = barred(name, rest, bool(inside))
+            why = barred(name, rest, home_end > i)
             if why and (by_name or why == "element"):
-                end = span_end(tokens, i, ends)
+                end = ends[i]
                 if end is not None:
                     most = why in ("wrapper", "name") and 2 * (words[end] - words[i]) > words[-1]
                     if not most and homes_before[end] == homes_before[i]:
@@ -164,9 +190,9 @@ def content(tokens: list[Token], by_name: bool = True) -> tuple[list[bool], list
                         i = end
                         continue
             elif name in HOMES:
-                end = span_end(tokens, i, ends) or len(tokens)
+                end = ends[i] or len(tokens)
                 homes.append((i, end))
-                inside.append(end)
+                home_end = max(home_end, end)
         i += 1
     return keep, homes
 
@@ -185,6 +211,8 @@ def kinds(tokens: list[Token]) -> Iterator[tuple[str, int]]:
 
 DEFAULT = {"word": 1.0, "link": -0.5, "tag": -0.5}
 """Weights where no page is labelled; a tag without a weight of its own costs half a word."""
+HOME_LINK = 0.01
+"""Score of a link's word within an article or main element."""
 
 
 def weights_of(inside: Counter, outside: Counter) -> dict[str, float]:
@@ -214,20 +242,35 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return found
 
 
+def scored(tokens: list[Token], keep: list[bool], homes: list[tuple[int, int]], weights: dict[str, float]) -> list[float]:
+    """Each token's score; within an article or main element tags cost nothing and links are worth a little."""
+    turn = [0] * (len(tokens) + 1)
+    for a, b in homes:
+        turn[a + 1] += 1
+        turn[max(a + 1, b - 1)] -= 1
+    out = []
+    for (feature, n), kept, depth in zip(kinds(tokens), keep, accumulate(turn[:-1])):
+        own = weights.get(feature, weights["tag"])
+        if depth and feature != "word" and feature.split()[-1] not in HOMES:
+            own = HOME_LINK if feature == "link" else 0.0
+        out.append(own * n if kept else 0.0)
+    return out
+
+
 def main_text(page: str, weights: dict[str, float]) -> str:
     tokens = read(page)
     for by_name in (True, False):
         keep, homes = content(tokens, by_name)
-        scores = [weights.get(f, weights["tag"]) * n if k else 0.0 for (f, n), k in zip(kinds(tokens), keep, strict=True)]
+        scores = scored(tokens, keep, homes, weights)
         start, end = best_run(scores)
         if end:
             break
-    whole = sum(s for s in scores[start:end] if s > 0)
-    around = [
-        (b - a, a, b) for a, b in homes if sum(s for s in scores[max(a, start) : min(b, end)] if s > 0) >= 0.7 * whole > 0
-    ]
-    if around:
-        _, start, end = min(around)
+    gains = [0.0, *accumulate(max(s, 0.0) for s in scores)]
+    most = 0.7 * (gains[end] - gains[start])
+    inner = [(max(a, start), min(b, end)) for a, b in homes if a < end and b > start]
+    held = [(b - a, a, b) for a, b in inner if gains[b] - gains[a] >= most > 0]
+    if held:
+        _, start, end = min(held)
     blocks: list[list[str]] = [[]]
     for i in range(start, end):
         kind, name, _ = tokens[i]

@@ -100,3 +100,65 @@ def test_long_comments_without_an_article_go():
 def test_closed_foreign_elements_swallow_nothing(element):
     assert main_text(f"<p>one two {element}three</p><p>four five six</p>", DEFAULT) == "one two three\nfour five six"
     assert main_text("<p>one <iframe src=http://a.b/>inner</iframe>two</p><svg><text>no</text></svg>", DEFAULT) == "one two"
+
+
+@pytest.mark.parametrize("name", ["head", "select", "noscript", "iframe", "svg", "template"])
+def test_elements_without_an_end_tag_swallow_nothing(name):
+    before = "<html><head><title>no</title>" if name == "head" else f"<html><head></head><body><{name}>"
+    assert main_text(f"{before}<body><article><h1>Title</h1><p>All of the words that there are.</article>", DEFAULT) == "Title\nAll of the words that there are."
+    if name != "head":
+        assert main_text(f"<p>one two</p><{name}>gone</{name}><p>three four", DEFAULT) == "one two\nthree four"
+        assert main_text(f"<p>one two</p><{name}>gone</{name}><p>three four<{name}>five", DEFAULT).endswith("three fourfive")
+
+
+@pytest.mark.parametrize("tag", ["form", "article", "div class='sidebar'", "p", "select", "b", "article><nav"])
+def test_deep_nesting_takes_linear_time(tag):
+    import time
+
+    first = tag.split()[0].split(">")[0]
+    page = f"<body>{f'<{tag}>' * 10_000}<p>these words are the content of it</p>{f'</{first}>' * 10_000}"
+    start = time.process_time()
+    text = main_text(page, DEFAULT)
+    assert time.process_time() - start < 1.5 and text in ("these words are the content of it", "")
+
+
+def brute_ends(tokens):
+    from flowmedallion.llm.html_text import BLOCKS, VOID
+
+    ends = []
+    for i, (kind, name, _) in enumerate(tokens):
+        depth, end = 1, None
+        if kind == "open" and name in VOID:
+            end = i + 1
+        elif kind == "open":
+            for j in range(i + 1, len(tokens)):
+                other, called, _ = tokens[j]
+                if other == "open" and name == "p" and called in BLOCKS:
+                    end = j
+                elif called == name:
+                    depth += {"open": 1, "close": -1}.get(other, 0)
+                    end = None if depth else j + 1
+                if end is not None:
+                    break
+            if end is None and name == "p":
+                end = len(tokens)
+        ends.append(end)
+    return ends
+
+
+def test_element_ends_equal_brute_force():
+    import random
+
+    from flowmedallion.llm.html_text import element_ends
+
+    draw = random.Random(5)
+    for _ in range(400):
+        tokens = [(draw.choice(("open", "open", "close", "word")), draw.choice(("p", "div", "b", "br", "li")), "") for _ in range(draw.randrange(25))]
+        assert element_ends(tokens) == brute_ends(tokens)
+
+
+def test_run_decides_but_for_what_lies_outside_the_article():
+    page = "<body><div>some words before it</div><article><p>{}</p></article><div>and some words behind it</div>"
+    long, short = "many words of an article " * 20, "two words"
+    assert main_text(page.format(long), DEFAULT) == long.strip()
+    assert "words before" in main_text(page.format(short), DEFAULT) or "words behind" in main_text(page.format(short), DEFAULT)
