@@ -24,6 +24,7 @@ SOURCE_FILE = "_source_file"
 INGESTION_TS = "_ingestion_ts"
 EXPECTED_DAY_FILES = 5
 WRITERS = 8
+HEAD_READERS = 32
 # Numeric types from narrow to wide; files that disagree within these take the widest.
 NUMBERS = (T.IntegerType(), T.LongType(), T.DoubleType())
 
@@ -97,33 +98,43 @@ def _entry_name(base: str) -> Column:
     return F.when(inside != "", inside).otherwise(F.substring_index(_file_path(), "/", -1))
 
 
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a file with text in it; only the head of the file is read."""
+    jvm, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(settings).open(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(settings).getCodec(path)
+    lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+    try:
+        while (line := lines.readLine()) is not None:
+            if line.strip():
+                return line
+        return None
+    finally:
+        lines.close()
+
+
 def csv_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
     """First line -> files that begin with it, for all files of the CSV entries of a folder.
 
-    One job looks at every file, part files of folder entries included, so that no file
-    is read under another's header.
+    Every file is looked at, part files of folder entries included, so that no file is read
+    under another's header.  Like the listing of the files, which Spark does before any scan, this is the
+    driver's work, HEAD_READERS files at a time; what is read does not grow with the files.
     """
     base = path.rstrip("/")
     try:
-        lines = spark.read.text(f"{base}/*.csv")
+        files = spark.read.text(f"{base}/*.csv").inputFiles()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return {}
-    first = (
-        lines.select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-            "value",
-            F.monotonically_increasing_id().alias("place"),
-        )
-        .filter((F.col("start") == 0) & (F.trim("value") != ""))
-        .groupBy("file")
-        .agg(F.min_by("value", "place").alias("header"))
-        .groupBy("header")
-        .agg(F.collect_list("file").alias("files"))
-    )
-    return {r["header"]: sorted(unquote(file) for file in r["files"]) for r in first.orderBy("header").collect()}
+    names = sorted(unquote(file) for file in files)
+    found: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(HEAD_READERS) as pool:
+        for name, header in zip(names, pool.map(lambda file: _first_line(spark, file), names)):
+            if header is not None:
+                found.setdefault(header, []).append(name)
+    return dict(sorted(found.items()))
 
 
 def _common_type(types: list[T.DataType]) -> T.DataType:

@@ -337,3 +337,24 @@ def test_as_of_loads_that_update(spark, tmp_path):
         tables.upsert_load(frame([(1, "y"), (1, "z")]), path, 4, ["k"])
     plan = tables.as_of_upsert(spark.read.parquet(path), 1)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_to_load" in plan
+
+
+def test_headers_of_many_files_and_of_long_ones(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"f{i}.csv").write_text(("\n  \n" if i % 7 == 0 else "") + ("a,b\n1,2\n" if i % 3 else "b,a\n1,2\n"))
+    (tmp_path / "empty.csv").write_text("")
+    found = readers.csv_headers(spark, str(tmp_path))
+    assert {h: len(files) for h, files in found.items()} == {"a,b": 200, "b,a": 100}
+
+
+def test_headers_do_not_read_on(spark, tmp_path):
+    import os
+
+    with open(tmp_path / "long.csv", "w") as out:
+        out.write("a,b\n" + "1,2\n" * 4_000_000)
+    java = next(int(p) for p in os.listdir("/proc") if p.isdigit() and b"java" in open(f"/proc/{p}/cmdline", "rb").read().split(b"\0")[0])
+    own = lambda: next(int(line.split()[1]) for line in open(f"/proc/{java}/io") if line.startswith("rchar"))
+    readers.csv_headers(spark, str(tmp_path))  # classes are loaded
+    before = own()
+    assert list(readers.csv_headers(spark, str(tmp_path))) == ["a,b"]
+    assert own() - before < 1_000_000  # of 16 MB
