@@ -36,6 +36,8 @@ SPLIT = 64
 CELL = 20_000
 WHOLE = 4
 PIECE_ROWS = 20_000
+BROADCAST_ROWS = 100_000
+"""Most groups cut into pieces that are broadcast to their rows; more meet them by shuffle."""
 ROW_BYTES = 16
 SIDES = ("bytes", "tokens", "rows")
 WEIGHTS = np.array([16.0, 1.0, 1.0])
@@ -115,15 +117,17 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", te
     total = rows.agg(*sums).first()
     capacity = np.array([max(total[s] or 0, 1) / shards for s in SIDES])
     part = F.greatest(*[F.col(s) / c for s, c in zip(SIDES, capacity.tolist(), strict=True)])  # of a shard
-    cut = (
+    cut, _ = store(
         rows.groupBy("grp").agg(*sums)
         .select("grp", F.greatest(F.ceil(part * WHOLE), F.ceil(F.col("rows") / PIECE_ROWS)).alias("pieces"))
-        .filter("pieces > 1")
+        .filter("pieces > 1"),
+        "cut",
     )
+    few = cut.count() <= BROADCAST_ROWS  # then no task gets all rows of a large group
     parted, _ = store(
-        rows.join(cut, "grp", "left")
+        rows.join(F.broadcast(cut) if few else cut, "grp", "left")
         .withColumn("piece", F.coalesce(F.pmod(F.xxhash64("at"), F.col("pieces")), F.lit(0)).cast("int"))
-        .repartition("grp", "piece")  # the join above leaves rows by group, pieces of one together
+        .repartition("grp", "piece")  # a join by shuffle leaves rows by group, pieces of one together
         .withColumn("number", F.row_number().over(Window.partitionBy("grp", "piece").orderBy("doc_id", "at")))
         .drop("pieces", "at"),
         "parted",
