@@ -27,6 +27,10 @@ def feature_groups(df: DataFrame, features: Sequence[str], split: str = SPLIT) -
     )
 
 
+def on_both_sides() -> Column:
+    return (F.col("train_rows") > 0) & (F.col("test_rows") > 0)
+
+
 def shared_feature_groups(df: DataFrame, features: Sequence[str], split: str = SPLIT) -> DataFrame:
     """Feature vectors found on both sides, with the rows of each side."""
     both = (F.col("train_rows") > 0) & (F.col("test_rows") > 0)
@@ -55,14 +59,18 @@ def feature_identical_rows(df: DataFrame, features: Sequence[str], split: str =
 
 def feature_identical_summary(df: DataFrame, features: Sequence[str], split: str = SPLIT) -> DataFrame:
     """One row: sizes, rows with a counterpart on the other side, shares, shared vectors."""
-    shared = (F.col("train_rows") > 0) & (F.col("test_rows") > 0)
+    return summary_of_groups(feature_groups(df, features, split))
+
+
+def summary_of_groups(groups: DataFrame) -> DataFrame:
+    """``feature_identical_summary`` from the train and test rows of each vector."""
+    shared = on_both_sides()
 
     def total(column) -> Column:
         return F.coalesce(F.sum(column), F.lit(0))
 
     return (
-        feature_groups(df, features, split)
-        .agg(
+        groups.agg(
             total(F.col("train_rows")).alias("train_size"),
             total(F.col("test_rows")).alias("test_size"),
             total(F.when(shared, F.col("test_rows"))).alias("test_with_counterpart"),

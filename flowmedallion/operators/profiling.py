@@ -110,6 +110,23 @@ def profile(df: DataFrame, protected: Sequence[str] = ("label",)) -> DataFrame:
     return _per_column(df, measures)
 
 
+def totals_of_groups(groups: DataFrame) -> DataFrame:
+    """One row of ``total``, ``distinct`` and ``nulls`` from one row per distinct row with ``_copies`` and ``_nulls``."""
+    return groups.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("total"),
+        F.count("*").alias("distinct"),
+        F.coalesce(F.sum(F.col("_copies") * F.col("_nulls")), F.lit(0)).alias("nulls"),
+    )
+
+
+def duplicates_of_totals(totals: DataFrame) -> DataFrame:
+    return totals.select(
+        F.col("total").alias("total_rows"),
+        F.col("distinct").alias("distinct_rows"),
+        (F.col("total") - F.col("distinct")).alias("duplicates"),
+    )
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Total and distinct rows and their difference; copies collapse before the shuffle."""
     return (
@@ -144,18 +161,17 @@ def quality_gate(df: DataFrame, thresholds: dict[str, float] | None = None) -> D
     The null ratio is taken over all cells.  Grouping equal rows gives row,
     copy and null counts in one pass.
     """
-    limits = dict(V.QUALITY_THRESHOLDS) | (thresholds or {})
-    width = len(df.columns)
     nulls = sum((F.when(F.col(f"`{c}`").isNull(), 1).otherwise(0) for c in df.columns), F.lit(0))
-    totals = (
-        df.groupBy(*[F.col(f"`{c}`") for c in df.columns])
-        .agg(F.count("*").alias("_copies"), F.first(nulls).alias("_nulls"))
-        .agg(
-            F.coalesce(F.sum("_copies"), F.lit(0)).cast("double").alias("total"),
-            F.count("*").cast("double").alias("distinct"),
-            F.coalesce(F.sum(F.col("_copies") * F.col("_nulls")), F.lit(0)).cast("double").alias("nulls"),
-        )
+    groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(
+        F.count("*").alias("_copies"), F.first(nulls).alias("_nulls")
     )
+    return gate_of_totals(totals_of_groups(groups), len(df.columns), thresholds)
+
+
+def gate_of_totals(totals: DataFrame, width: int, thresholds: dict[str, float] | None = None) -> DataFrame:
+    """The rules of ``quality_gate`` on the totals of a table of ``width`` columns."""
+    limits = dict(V.QUALITY_THRESHOLDS) | (thresholds or {})
+    totals = totals.select(*[F.col(c).cast("double").alias(c) for c in totals.columns])
     null_ratio = F.coalesce(ratio_or_null(F.col("nulls"), F.col("total") * width), F.lit(0.0))
     copy_ratio = F.coalesce(
         ratio_or_null(F.col("total") - F.col("distinct"), F.col("total")), F.lit(0.0)

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowmedallion import vocabulary as V
 from flowmedallion.functions.hashing import digest_below, digest_unit, row_digest
+from flowmedallion.sources.session import materialize
 
 SPLIT = "split"
 TRAIN = "train"
@@ -82,8 +83,37 @@ def stratified_split_exact(
     the resulting cut-off digest (one row per class, hence the broadcast) is
     compared with every row.
     """
+    return _cut_classes(df, *_draws(df, class_col, key_cols, seed), test_share)
+
+
+def _draws(df: DataFrame, class_col: str, key_cols: Sequence[str] | None, seed: int) -> tuple[Column, Column]:
     digest = row_digest(key_cols or default_keys(df), seed)
-    class_key = F.coalesce(F.concat(F.lit("="), F.col(class_col).cast("string")), F.lit("null"))
+    return digest, F.coalesce(F.concat(F.lit("="), F.col(class_col).cast("string")), F.lit("null"))
+
+
+def stratified_split_stored(
+    df: DataFrame,
+    class_col: str = "is_attack",
+    key_cols: Sequence[str] | None = None,
+    test_share: float = V.TEST_SHARE,
+    seed: int = V.SEED,
+) -> DataFrame:
+    """``stratified_split_exact`` that reads its input and hashes each row once.
+
+    Eager: the rows are written to the scratch folder with class and digest.  The histogram reads the class and
+    the digest's first digits, the ranking the class and the digest, the result the stored rows; the
+    input, which may be a costly plan, is not run again.
+    """
+    taken = {c.lower() for c in df.columns} & {"_class", "_digest"}
+    if taken:
+        raise ValueError(f"columns of the frame are called like those of the split: {', '.join(sorted(taken))}")
+    digest, class_key = _draws(df, class_col, key_cols, seed)
+    stored = materialize(df.withColumns({"_class": class_key, "_digest": digest}), "digests")
+    return _cut_classes(stored, F.col("_digest"), F.col("_class"), test_share).drop("_class", "_digest")
+
+
+def _cut_classes(df: DataFrame, digest: Column, class_key: Column, test_share: float) -> DataFrame:
+    """Tag the rows of each class up to its cut-off digest as ``test``."""
     drawn = df.select(
         class_key.alias("_class"),
         digest.alias("_digest"),

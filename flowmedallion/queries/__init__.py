@@ -3,6 +3,7 @@
 from flowmedallion.queries.registry import REGISTRY, Query  # noqa: F401
 from flowmedallion.queries import (  # noqa: F401
     cleaning_queries,
+    digest_queries,
     evaluation_queries,
     feature_queries,
     learning_queries,

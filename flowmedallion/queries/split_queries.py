@@ -42,20 +42,25 @@ def _stratified_split(spark, sf):
     return sampling.stratified_split(A.gold(spark, sf), A.KEYS).select(*_ROW, "split")
 
 
-@query(
-    "stratified_split_exact",
-    A.on_gold(
-        f"""SELECT {_ROW_SQL}, CASE WHEN d <= cut THEN 'test' ELSE 'train' END AS split
-            FROM (SELECT *, max(d) FILTER (place = quota) OVER (PARTITION BY is_attack) AS cut
-                  FROM (SELECT *, row_number() OVER (PARTITION BY is_attack ORDER BY d) AS place,
-                               round(0.2 * count(*) OVER (PARTITION BY is_attack)) AS quota
-                        FROM (SELECT *, {A.digest_sql(A.KEYS, 42)} AS d FROM gold)))"""
-    ),
+_EXACT_SQL = A.on_gold(
+    f"""SELECT {_ROW_SQL}, CASE WHEN d <= cut THEN 'test' ELSE 'train' END AS split
+        FROM (SELECT *, max(d) FILTER (place = quota) OVER (PARTITION BY is_attack) AS cut
+              FROM (SELECT *, row_number() OVER (PARTITION BY is_attack ORDER BY d) AS place,
+                           round(0.2 * count(*) OVER (PARTITION BY is_attack)) AS quota
+                    FROM (SELECT *, {A.digest_sql(A.KEYS, 42)} AS d FROM gold)))"""
 )
+
+
+@query("stratified_split_exact", _EXACT_SQL)
 def _stratified_split_exact(spark, sf):
     return sampling.stratified_split_exact(A.gold(spark, sf), key_cols=A.KEYS).select(*_ROW, "split")
 
 
+@query("stratified_split_stored", _EXACT_SQL)
+def _stratified_split_stored(spark, sf):
+    return sampling.stratified_split_stored(A.gold(spark, sf), key_cols=A.KEYS).select(*_ROW, "split")
+
+
 @query("temporal_split", A.on_predictions(f"SELECT {_ROW_SQL}, day_of_week, split FROM by_day"))
 def _temporal_split(spark, sf):
     return sampling.temporal_split(A.gold(spark, sf)).select(*_ROW, "day_of_week", "split")

@@ -194,6 +194,17 @@ def upsert_table(source: DataFrame, name: str, keys: list[str], path: str | None
     overwrite_partitions(merged, name, set(touched), fmt)
 
 
+def insert_partitions(df: DataFrame, name: str, fmt: str = "parquet") -> None:
+    """Put a frame's rows, in the table's column order, in place of the partitions that they belong to."""
+    spark = df.sparkSession
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")  # insertInto takes no such option
+    try:
+        df.write.format(fmt).mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
+
+
 def overwrite_partitions(df: DataFrame, name: str, old: set[tuple], fmt: str = "parquet") -> None:
     """Put a frame's rows, which may come from the table, in place of the ``old`` partitions and of those it has rows in.
 
@@ -203,12 +214,7 @@ def overwrite_partitions(df: DataFrame, name: str, old: set[tuple], fmt: str = "
     partitions, columns = table_partitions(spark, name), spark.read.table(name).columns
     stored = materialize(gathered(df.select(*columns), partitions), "partitions", tuple(partitions))
     kept = {tuple(row) for row in partition_rows(stored, partitions)}
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")  # insertInto takes no such option
-    try:
-        stored.select(*columns).write.format(fmt).mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+    insert_partitions(stored.select(*columns), name, fmt)
     for values in old - kept:
         drop_partition(spark, name, dict(zip(partitions, values)))
 
