@@ -92,8 +92,8 @@ GPL_3 = """    This program is free software: you can redistribute it and/or mod
     (at your option) any later version.
 """
 WRAPPED_CASES = [
-    (MIT_FILE, "mit_grant; mit_notice", "MIT", 0, 1),
-    (APACHE_HEADER, "apache_use; apache_copy; as_is; limits", "Apache-2.0", 2, 1),
+    (MIT_FILE, "title MIT; mit_grant; mit_notice", "MIT", 0, 0),
+    (APACHE_HEADER, "named Apache-2.0; apache_use; apache_copy; as_is; limits", "Apache-2.0", 0, 0),
     (BSD_HEADER, "bsd_grant", "BSD", 0, 0),
     (GPL_2, "gpl_free; gpl_any_2", "GPL-2.0-or-later", 0, 0),
     (GPL_3, "gpl_free; gpl_any_3", "GPL-3.0-or-later", 0, 0),
@@ -107,3 +107,51 @@ WRAPPED_CASES = [
 def test_wrapped_notices(spark):
     rows = [(i, case[0], "x", 1) for i, case in enumerate(WRAPPED_CASES)]
     assert spark_rows(spark, rows) == sorted(((i, *case[1:]) for i, case in enumerate(WRAPPED_CASES)), key=str)
+
+
+NOTICES = [
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\n"
+     "copyright notice and this permission notice appear in all copies.", "ISC"),
+    ("/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n"
+     " * file, You can obtain one at https://mozilla.org/MPL/2.0/. */", "MPL-2.0"),
+    ("# This library is free software; you can redistribute it and/or\n# modify it under the terms of the GNU Lesser General Public\n"
+     "# License as published by the Free Software Foundation; either\n# version 2.1 of the License, or (at your option) any later version.", "LGPL-2.1-or-later"),
+    ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+    ("// SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0"),
+    ("SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0-or-later"),
+    ("# SPDX-License-Identifier: MIT OR Apache-2.0", "Apache-2.0; MIT"),
+    ("SPDX-License-Identifier: (MIT AND BSD-3-Clause)", "MIT; BSD-3-Clause"),
+    ("Distributed under the Boost Software License, Version 1.0.", "BSL-1.0"),
+    ("MIT License", "MIT"),
+    ("The MIT License (MIT)", "MIT"),
+    ("                                 Apache License\n                           Version 2.0, January 2004\n", "Apache-2.0"),
+    ("GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007", "GPL-3.0"),
+    ('Licensed under the MIT license (the "License").', "MIT"),
+    ("This project is licensed under the MIT License - see the LICENSE file for details.", "MIT"),
+    ("This project is licensed under the MIT License - see the\n[LICENSE.md](LICENSE.md) file for details.", "MIT"),
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n"
+     "1. Redistributions of source code must retain the above copyright notice,\n   this list of conditions and the following disclaimer.\n"
+     "2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the\n"
+     "   documentation and/or other materials provided with the distribution.\n", "BSD-2-Clause"),
+    ("They are licensed and insured, see the office for details. Mit or isc.", ""),
+    ("It is licensed under terms or conditions of its own.", ""),
+]
+
+
+def test_common_notices(spark):
+    three = NOTICES[-3][0] + (
+        "3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n"
+        "   this software without specific prior written permission.\n"
+    )
+    cases = [*NOTICES, (three, "BSD-3-Clause")]
+    found = {r[0]: r[2] for r in spark_rows(spark, [(i, text, "x", 1) for i, (text, _) in enumerate(cases)])}
+    assert found == {i: licenses for i, (_, licenses) in enumerate(cases)}
+
+
+def test_notices_on_one_line_equal_sql(spark):
+    rows = [(i, text, "x", 1) for i, (text, _) in enumerate(NOTICES) if "\n" not in text]
+    connection = duckdb.connect()
+    connection.execute("create table documents(doc_id bigint, text varchar)")
+    connection.executemany("insert into documents values (?, ?)", [row[:2] for row in rows])
+    expected = sorted(connection.execute(f"select doc_id, sentences, licenses, parts, unknown from ({scan_sql()})").fetchall(), key=str)
+    assert spark_rows(spark, rows) == expected
