@@ -22,6 +22,8 @@ the fixed list of known sentences.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -162,6 +164,7 @@ RULES: list[tuple[str, list[str]]] = [
 END = r"[.?!;]+\s+|\n+"
 # What may follow a name: where the whole licence is to be found.
 SEE = r"( -)? (please )?see (the )?(accompanying )?license(.md|.txt)?( license(.md|.txt)?)?( file)?( for (more |full |further )?(details|information))?$"
+SEE_BEGUN = r"( -)?( please)?( see( .*)?)?$"
 VERSION = r"\bversion (?=[0-9])"
 # Words of which every known sentence has one; fixed values.
 HINTS = r"(?i)licen[cs]e|spdx|released|distribut|available|published|permission|reserved|free\s+software"
@@ -212,6 +215,13 @@ def single(sentence: Column) -> Column:
     return F.when(several, F.transform(names, lambda name: F.concat_ws(" ", opening, name))).otherwise(F.array(sentence))
 
 
+def openings_of(sentences: list[str]) -> list[str]:
+    """What sentences begin with, at ends of words; ``version`` may stand alone where a line ends behind it."""
+    begun = {" ".join(words[:n]) for words in map(str.split, sentences) for n in range(1, len(words) + 1)}
+    cut = {" ".join([*words[:n], "version"]) for words in map(str.split, sentences) for n, word in enumerate(words) if re.match("v[0-9]", word)}
+    return sorted(begun | cut)
+
+
 def wrapped(rows: DataFrame) -> DataFrame:
     """``key, first, last, ids`` for every known sentence that goes over several lines or semicolons: the places of its
     first and last line among the pieces of END, and its identifiers."""
@@ -231,11 +241,16 @@ def wrapped(rows: DataFrame) -> DataFrame:
     end = F.array_position(F.transform("block", lambda p: p["stop"]), True).cast("int")
     ended = begun.withColumn("n", F.when(end > 0, end).otherwise(F.size("block")))
 
+    # only lines that go on as a known sentence does are put together any further
+    two = F.regexp_replace(F.concat_ws(" ", F.get("block", F.lit(0))["sentence"], F.get("block", F.lit(1))["sentence"]), VERSION, "v")
+    begins_so = F.broadcast(rows.sparkSession.createDataFrame([(text,) for text in openings_of([text for text, _ in known])], "opening string"))
+    fitting = ended.withColumn("two", F.regexp_replace(two, SEE_BEGUN, "")).join(begins_so, F.col("two") == F.col("opening"), "left_semi")
+
     def run(n: Column) -> Column:
         joined = F.array_join(F.transform(F.slice("block", 1, n), lambda p: p["sentence"]), " ")
         return F.struct(F.get(F.col("block"), n - 1)["at"].alias("last"), told(F.regexp_replace(joined, VERSION, "v")).alias("sentence"))
 
-    runs = ended.select("key", F.get(F.col("block"), F.lit(0))["at"].alias("first"), F.explode(F.transform(F.sequence(F.lit(2), F.col("n")), run)).alias("run"))
+    runs = fitting.select("key", F.get(F.col("block"), F.lit(0))["at"].alias("first"), F.explode(F.transform(F.sequence(F.lit(2), F.col("n")), run)).alias("run"))
     table = F.broadcast(rows.sparkSession.createDataFrame(known, "sentence string, ids array<string>"))
     found = runs.select("key", "first", "run.*").join(table, "sentence").groupBy("key", "first").agg(F.max(F.struct("last", "ids")).alias("r"))
     longest = found.select("key", "first", "r.*")

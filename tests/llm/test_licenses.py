@@ -1,3 +1,5 @@
+import time
+
 import duckdb
 
 from flowmedallion.llm.licenses import SENTENCES, scan, scan_sql
@@ -155,3 +157,12 @@ def test_notices_on_one_line_equal_sql(spark):
     connection.executemany("insert into documents values (?, ?)", [row[:2] for row in rows])
     expected = sorted(connection.execute(f"select doc_id, sentences, licenses, parts, unknown from ({scan_sql()})").fetchall(), key=str)
     assert spark_rows(spark, rows) == expected
+
+
+def test_very_long_texts(spark):
+    """Many lines that may each begin a sentence, and a notice behind them."""
+    text = "This software is licensed under the\n" * 8000 + "MIT License."
+    scan(spark.createDataFrame([(0, "x")], "doc_id long, text string")).collect()
+    began = time.time()
+    (row,) = scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert (row.sentences, row.licenses, row.unknown) == ("named MIT", "MIT", 7999) and time.time() - began < 30
