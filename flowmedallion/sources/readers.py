@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from flowmedallion.functions.expressions import FLOATING, null_if_nonfinite
 from flowmedallion.operators.schema import clean_column_name, clean_columns
+from flowmedallion.sources.csv_types import Kinds, column_state, merge_kinds, type_of, typed
 
 logger = logging.getLogger(__name__)
 
@@ -25,8 +26,6 @@ INGESTION_TS = "_ingestion_ts"
 EXPECTED_DAY_FILES = 5
 WRITERS = 8
 HEAD_READERS = 32
-# Numeric types from narrow to wide; files that disagree within these take the widest.
-NUMBERS = (T.IntegerType(), T.LongType(), T.DoubleType())
 
 
 def _entry_of(file: str, base: str) -> str:
@@ -137,15 +136,34 @@ def csv_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
     return dict(sorted(found.items()))
 
 
-def _common_type(types: list[T.DataType]) -> T.DataType:
-    """One type for a column whose files disagree: the widest number, else text."""
-    different = {t.simpleString(): t for t in types}
-    if len(different) == 1:
-        return types[0]
-    known = [n.simpleString() for n in NUMBERS]
-    if set(different) <= set(known):
-        return NUMBERS[max(known.index(name) for name in different)]
-    return T.StringType()
+def _text_rows(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Files of one header with every column as text."""
+    names = spark.read.option("header", True).csv(files[0]).columns
+    return read_csv(spark, files, T.StructType([T.StructField(name, T.StringType()) for name in names]))
+
+
+def csv_kinds(spark: SparkSession, path: str, groups: list[list[str]] | None = None) -> dict[str, Kinds]:
+    """Entry name -> clean column -> state of its values (``csv_types``), for the CSV entries of a folder.
+
+    One aggregate reads all files once, whatever their headers, and returns one row for each
+    entry, header and column.  ``groups`` are the files of each header, where they are known.
+    """
+    base = path.rstrip("/")
+    groups = list(csv_headers(spark, base).values()) if groups is None else groups
+    parts, names = None, []
+    for header, files in enumerate(groups):
+        rows = _text_rows(spark, files)
+        names.append([clean_column_name(c) for c in rows.columns])
+        texts = F.array(*[F.col(f"`{c}`") for c in rows.columns])
+        # one row for each value: the test of a value is compiled once, not once for each column
+        values = rows.select(_entry_name(base).alias("entry"), F.posexplode(texts).alias("at", "value"))
+        part = values.groupBy("entry", "at").agg(column_state(F.col("value")).alias("state")).select(F.lit(header).alias("header"), "entry", "at", "state")
+        parts = part if parts is None else parts.unionAll(part)
+    found: dict[str, Kinds] = {}
+    for row in parts.collect() if parts is not None else []:
+        own = {names[row["header"]][row["at"]]: row["state"]}
+        found[row["entry"]] = merge_kinds([found.get(row["entry"], {}), own])
+    return found
 
 
 def _csv_frame(
@@ -153,33 +171,31 @@ def _csv_frame(
     base: str,
     groups: list[list[str]],
     schema: T.StructType | None,
+    kinds: Kinds,
     keep_nonfinite: bool,
     allow_missing: bool,
 ) -> DataFrame:
     """Files of one header each share a scan; the scans are united by clean column name."""
-    raw_names = [spark.read.option("header", True).csv(files[0]).columns for files in groups]
-    clean_names = [[clean_column_name(c) for c in names] for names in raw_names]
+    scans = [_text_rows(spark, files) for files in groups]
+    given = None
     if schema is not None:
         given = {clean_column_name(f.name): f.dataType for f in schema.fields}
-        types = [[given.get(c, T.StringType()) for c in names] for names in clean_names]
-        for names in clean_names:
-            differing = set(names) ^ set(given)
+        for scan in scans:
+            differing = {clean_column_name(c) for c in scan.columns} ^ set(given)
             if differing and not allow_missing:
                 raise ValueError(f"schema and files differ in {', '.join(sorted(differing))}")
-    else:
-        given = None
-        found = [[f.dataType for f in read_csv(spark, files).schema.fields] for files in groups]
-        by_name: dict[str, list[T.DataType]] = {}
-        for names, kinds in zip(clean_names, found, strict=True):
-            for name, kind in zip(names, kinds, strict=True):
-                by_name.setdefault(name, []).append(kind)
-        types = [[_common_type(by_name[c]) for c in names] for names in clean_names]
 
     bronze = None
-    for files, raw, kinds in zip(groups, raw_names, types, strict=True):
-        fields = T.StructType([T.StructField(name, kind) for name, kind in zip(raw, kinds, strict=True)])
-        rows = read_csv(spark, files, fields)
-        tagged = rows.select(*[F.col(f"`{c}`") for c in raw], _entry_name(base).alias(SOURCE_FILE))
+    for files, scan in zip(groups, scans, strict=True):
+        raw = scan.columns
+        if given is not None:
+            types = [given.get(clean_column_name(c), T.StringType()) for c in raw]
+            rows = read_csv(spark, files, T.StructType([T.StructField(c, t) for c, t in zip(raw, types)]))
+            values = [F.col(f"`{c}`") for c in raw]
+        else:
+            rows = scan
+            values = [typed(F.col(f"`{c}`"), type_of(kinds.get(clean_column_name(c), 0))).alias(c) for c in raw]
+        tagged = rows.select(*values, _entry_name(base).alias(SOURCE_FILE))
         frame = _bronze_csv(tagged, keep_nonfinite)
         if given is not None:
             frame = frame.select(
@@ -200,6 +216,7 @@ def ingest_csv_to_bronze_memory(
     keep_nonfinite: bool = False,
     first_only: bool = False,
     allow_missing: bool = False,
+    known: Kinds | None = None,
 ) -> DataFrame | None:
     """All CSV entries of a folder as one Bronze frame; ``None`` when there are none.
 
@@ -207,7 +224,9 @@ def ingest_csv_to_bronze_memory(
     files takes the widest number or else text, for ``cast_types`` to settle.  Fields of
     ``schema`` are matched by clean name too, whatever their order; a field that a file
     lacks, or a column that the schema lacks, is an error unless ``allow_missing`` makes
-    it null or leaves it out.  Give ``schema`` to save the inference pass.
+    it null or leaves it out.  Give ``schema`` to save the inference pass.  ``known`` are the
+    merged states (``csv_kinds``) of earlier loads: with them no column gets a narrower type than
+    all loads together need, and the earlier files are not read again.
     """
     base = input_path.rstrip("/")
     groups = list(csv_headers(spark, base).values())
@@ -217,7 +236,8 @@ def ingest_csv_to_bronze_memory(
     if first_only:
         first = min(_entry_of(file, base) for files in groups for file in files)
         groups = [own for files in groups if (own := [f for f in files if _entry_of(f, base) == first])]
-    return _csv_frame(spark, base, groups, schema, keep_nonfinite, allow_missing)
+    kinds = merge_kinds([known or {}, *csv_kinds(spark, base, groups).values()]) if schema is None else {}
+    return _csv_frame(spark, base, groups, schema, kinds, keep_nonfinite, allow_missing)
 
 
 def ingest_csv_to_bronze(
@@ -229,11 +249,13 @@ def ingest_csv_to_bronze(
 ) -> None:
     """Each CSV entry of a folder to its own Bronze Parquet folder, named after the file.
 
-    Headers are looked at once for all entries; WRITERS entries are written at a time.
+    Headers and types are looked for once for all entries; each entry has types of its own.
+    WRITERS entries are written at a time.
     """
     base = input_path.rstrip("/")
     entries: dict[str, list[list[str]]] = {}
-    for files in csv_headers(spark, base).values():
+    groups = list(csv_headers(spark, base).values())
+    for files in groups:
         own: dict[str, list[str]] = {}
         for file in files:
             own.setdefault(_entry_of(file, base), []).append(file)
@@ -242,9 +264,11 @@ def ingest_csv_to_bronze(
     if not entries:
         logger.warning("no CSV file in %s", input_path)
         return
+    found = csv_kinds(spark, base, groups) if schema is None else {}
 
     def write(entry: str) -> None:
-        frame = _csv_frame(spark, base, entries[entry], schema, keep_nonfinite, allow_missing=False)
+        kinds = found.get(posixpath.basename(entry), {})
+        frame = _csv_frame(spark, base, entries[entry], schema, kinds, keep_nonfinite, allow_missing=False)
         frame.write.mode("overwrite").parquet(f"{output_path.rstrip('/')}/{entry_stem(entry, '.csv')}")
 
     with ThreadPoolExecutor(WRITERS) as pool:
@@ -264,7 +288,8 @@ def ingest_multi_day(
 ) -> DataFrame | None:
     """All day files of a folder as one Bronze frame with ``day_of_week``.
 
-    The day is the last ``-`` part of the file stem.  Entries of one schema share a scan;
+    The day is the last ``-`` part of the file stem.  Entries of one schema share a scan; their
+    footers are read HEAD_READERS entries at a time;
     source and day come from the file's path, so a filter on either skips whole files.
     Columns must agree by name unless ``allow_missing`` is set.
     """
@@ -276,8 +301,10 @@ def ingest_multi_day(
     if len(entries) < EXPECTED_DAY_FILES:
         logger.warning("expected %d day files, found %d", EXPECTED_DAY_FILES, len(entries))
     groups: dict[str, list[str]] = {}
-    for entry in entries:
-        groups.setdefault(spark.read.parquet(entry).schema.json(), []).append(entry)
+    with ThreadPoolExecutor(HEAD_READERS) as pool:
+        schemas = list(pool.map(lambda entry: spark.read.parquet(entry).schema.json(), entries))
+    for entry, found in zip(entries, schemas, strict=True):
+        groups.setdefault(found, []).append(entry)
     bronze = None
     for members in groups.values():
         rows = spark.read.parquet(*members)

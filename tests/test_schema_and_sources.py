@@ -358,3 +358,57 @@ def test_headers_do_not_read_on(spark, tmp_path):
     before = own()
     assert list(readers.csv_headers(spark, str(tmp_path))) == ["a,b"]
     assert own() - before < 1_000_000  # of 16 MB
+
+
+def test_kinds_of_values(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from flowmedallion.sources import csv_types as K
+
+    kinds = {
+        None: 0, "": 0, "0080": K.INT, "-7": K.INT, "2147483648": K.LONG, "9" * 19: K.BIG, "-" + "9" * 38: K.BIG, "9" * 39: K.REAL,
+        "1.5": K.REAL, "1e5": K.REAL, "NaN": K.REAL, "-Infinity": K.REAL, "TRUE": K.TRUTH, "2017-07-05": K.DAY, "2017-13-05": K.TEXT,
+        "2017-07-05 08:42": K.TIME, "2017-07-05T08:42:01.5": K.TIME, "5/7/2017 8:42": K.TEXT, " BENIGN": K.TEXT, "t": K.TEXT,
+    }
+    rows = spark.createDataFrame([(v,) for v in kinds], "v string").select("v", K.kind(F.col("v")).alias("k")).collect()
+    assert {r["v"]: r["k"] for r in rows} == kinds
+    whole = {0: T.StringType(), K.INT: T.IntegerType(), K.INT | K.LONG: T.LongType(), K.INT | K.BIG: T.DecimalType(38, 0)}
+    mixed = {
+        K.BIG | K.REAL: T.DoubleType(), K.TRUTH: T.BooleanType(), K.TRUTH | K.INT: T.StringType(), K.DAY: T.DateType(), K.DAY | K.TIME: T.TimestampType(),
+        K.DAY | K.INT: T.StringType(), K.REAL | K.TEXT: T.StringType(),
+    }
+    assert all(K.type_of(state) == kind for state, kind in (whole | mixed).items())
+    # a value that counted for a type is not lost by the cast to any type of a state that holds it
+    for state in range(1, 256):
+        kind = K.type_of(state)
+        own = [v for v, k in kinds.items() if k and k & state]
+        cast = spark.range(1).select(*[K.typed(F.lit(v), kind).alias(f"c{i}") for i, v in enumerate(own)]) if state in (*whole, *mixed) else None
+        assert cast is None or None not in cast.first()
+
+
+def test_kinds_merge_over_entries_and_loads(spark, tmp_path):
+    from flowmedallion.sources.csv_types import INT, LONG, REAL, TEXT, merge_kinds
+
+    (tmp_path / "one").mkdir()
+    (tmp_path / "two").mkdir()
+    (tmp_path / "one" / "a.csv").write_text("Size,Name\n1,x\n")
+    (tmp_path / "one" / "b.csv").write_text("name,size,more\n7,3000000000,\n")
+    (tmp_path / "one" / "empty.csv").write_text("size,name\n")
+    (tmp_path / "two" / "c.csv").write_text("size,name\n2,8\n")
+    first = readers.csv_kinds(spark, str(tmp_path / "one"))
+    assert first == {"a.csv": {"size": INT, "name": TEXT}, "b.csv": {"size": LONG, "name": INT, "more": 0}}
+    known = merge_kinds([*first.values(), {"size": REAL}])
+    alone = readers.ingest_csv_to_bronze_memory(spark, str(tmp_path / "two"))
+    later = readers.ingest_csv_to_bronze_memory(spark, str(tmp_path / "two"), known=known)
+    assert [t for _, t in alone.dtypes[:2]] == ["int", "int"] and [t for _, t in later.dtypes[:2]] == ["double", "string"]
+    assert tuple(later.first())[:2] == (2.0, "8")
+    assert readers.csv_kinds(spark, str(tmp_path / "none")) == {}
+
+
+def test_types_of_many_headers(spark, tmp_path):
+    for i in range(6):
+        (tmp_path / f"f{i}.csv").write_text(f"a,b{i}\n{i},x\n")
+    groups = list(readers.csv_headers(spark, str(tmp_path)).values())
+    found = readers.csv_kinds(spark, str(tmp_path), groups)
+    assert len(groups) == len(found) == 6 and all(kinds["a"] == 1 for kinds in found.values())
