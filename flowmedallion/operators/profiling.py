@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from flowmedallion import vocabulary as V
 from flowmedallion.functions.expressions import count_where, ratio_or_null
+from flowmedallion.functions.hashing import row_keys
 
 METADATA_PREFIX = "_"
 
@@ -128,9 +129,9 @@ def duplicates_of_totals(totals: DataFrame) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Total and distinct rows and their difference; copies collapse before the shuffle."""
+    """Total and distinct rows and their difference; copies collapse before the shuffle, which carries digests."""
     return (
-        df.groupBy(*[F.col(f"`{c}`") for c in df.columns])
+        df.groupBy(*row_keys(df))
         .agg(F.count("*").alias("_copies"))
         .agg(
             F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_rows"),
@@ -158,11 +159,11 @@ def describe_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def quality_gate(df: DataFrame, thresholds: dict[str, float] | None = None) -> DataFrame:
     """One row per rule: measured value, threshold, passed.
 
-    The null ratio is taken over all cells.  Grouping equal rows gives row,
+    The null ratio is taken over all cells.  Grouping equal rows, by digest, gives row,
     copy and null counts in one pass.
     """
     nulls = sum((F.when(F.col(f"`{c}`").isNull(), 1).otherwise(0) for c in df.columns), F.lit(0))
-    groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(
+    groups = df.groupBy(*row_keys(df)).agg(
         F.count("*").alias("_copies"), F.first(nulls).alias("_nulls")
     )
     return gate_of_totals(totals_of_groups(groups), len(df.columns), thresholds)
