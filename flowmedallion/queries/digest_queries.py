@@ -10,12 +10,11 @@ from flowmedallion.queries.registry import REGISTRY, query
 from flowmedallion.sources import digests
 from flowmedallion.sources.session import scratch_path
 
-_BUCKETS = 8
 _WIDTH = len(A.FLOW_COLUMNS)
 
 
 def _stored_by_features(spark, sf, name: str) -> str:
-    digests.store_by_features(_coarse(spark, sf), name, _COARSE, _BUCKETS, scratch_path(spark, name))
+    digests.store_by_features(_coarse(spark, sf), name, _COARSE, path=scratch_path(spark, name))
     return name
 
 
@@ -34,7 +33,7 @@ def _two_loads(spark, sf, name: str) -> str:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     flows = A.flows(spark, sf)
     late = F.col("day_of_week").isin("Thursday", "Friday")
-    digests.add_load_state(flows.filter(~late), name, 1, _BUCKETS, scratch_path(spark, name))
+    digests.add_load_state(flows.filter(~late), name, 1, path=scratch_path(spark, name))
     for _ in range(2):
         digests.add_load_state(flows.filter(late | (F.col("protocol") == 6)), name, 2)
     return name

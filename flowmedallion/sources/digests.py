@@ -8,28 +8,26 @@ bucketed by both halves, so grouping by digest and joining on it read each bucke
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from flowmedallion.functions.hashing import DIGEST, digest_columns
 from flowmedallion.operators.leakage import HOT_PARTS, feature_groups, on_both_sides, summary_of_groups
 from flowmedallion.operators.profiling import duplicates_of_totals, gate_of_totals, totals_of_groups
 from flowmedallion.operators.sampling import SPLIT
 from flowmedallion.sources.session import materialize
 from flowmedallion.sources.tables import LOAD_ID, drop_partition, get_property, insert_partitions, set_property
 
-DIGEST = ["_digest_a", "_digest_b"]
 COPIES, NULLS = "_copies", "_nulls"
-BUCKETS = 200
+ROWS_PER_BUCKET, LEAST_BUCKETS = 1_000_000, 8
 STATE_COLUMNS, STATE_BUCKETS = "flowmedallion.state_columns", "flowmedallion.state_buckets"
 
 
-def digest_columns(columns: Sequence[str]) -> dict[str, Column]:
-    """The two halves of the digest of these columns."""
-    values = []
-    for c in columns:  # Spark's hashes pass over nulls, so (null, 1) and (1, null) need the flags
-        values += [F.col(f"`{c}`").isNull(), F.col(f"`{c}`")]
-    return {name: F.xxhash64(F.lit(seed), *values) for seed, name in enumerate(DIGEST)}
+def buckets_for(rows: int) -> int:
+    """Buckets for so many rows, so that a bucket, which one task reads, does not grow with the table."""
+    return max(LEAST_BUCKETS, math.ceil(rows / ROWS_PER_BUCKET))
 
 
 def _bucketed(df: DataFrame, name: str, buckets: int, path: str | None, partition_by: Sequence[str] = ()) -> None:
@@ -44,15 +42,18 @@ def _bucketed(df: DataFrame, name: str, buckets: int, path: str | None, partitio
 
 
 def store_by_features(
-    df: DataFrame, name: str, features: Sequence[str], buckets: int = BUCKETS, path: str | None = None
+    df: DataFrame, name: str, features: Sequence[str], buckets: int | None = None, path: str | None = None
 ) -> None:
     """Store rows by the digest of their features: ``name``, bucketed, and ``name_hot``, as the rows come.
 
     Vectors that hold at least 1/HOT_PARTS of all rows, so at most HOT_PARTS of them, are hot: their rows
-    would fill single buckets, and lie in ``name_hot``.  All columns are kept; ``buckets`` should give buckets of some 100 MB.
+    would fill single buckets, and lie in ``name_hot``.  All columns are kept.  The number of buckets follows the number of
+    rows unless it is given.
     """
     rows = df.withColumns(digest_columns(features))
     counts = materialize(rows.groupBy(*DIGEST).agg(F.count("*").alias(COPIES)), "vectors")
+    if buckets is None:
+        buckets = buckets_for(counts.agg(F.sum(COPIES)).first()[0] or 0)
     limit = counts.agg(F.sum(COPIES)).scalar() / F.lit(HOT_PARTS)
     hot = F.broadcast(materialize(counts.filter(F.col(COPIES) >= limit).select(*DIGEST), "hot-vectors"))
     _bucketed(rows.join(hot, DIGEST, "left_anti"), name, buckets, path)
@@ -88,10 +89,11 @@ def stored_identical_summary(spark: SparkSession, name: str, split: str = SPLIT)
 # -- state of loads -----------------------------------------------------------------------
 
 
-def add_load_state(df: DataFrame, name: str, load_id: int, buckets: int = BUCKETS, path: str | None = None) -> None:
+def add_load_state(df: DataFrame, name: str, load_id: int, buckets: int | None = None, path: str | None = None) -> None:
     """Record one load in a state table: each distinct row's digest, its copies, and its number of nulls.
 
-    The table is partitioned by load and bucketed by digest.  Copies collapse before the shuffle.  The
+    The table is partitioned by load and bucketed by digest; unless given, the number of buckets follows
+    the rows of the first load and stays.  Copies collapse before the shuffle.  The
     same load again replaces itself; a load with other columns than the first is refused.
     """
     spark, columns = df.sparkSession, json.dumps(df.columns)
@@ -103,6 +105,7 @@ def add_load_state(df: DataFrame, name: str, load_id: int, buckets: int = BUCKET
         .withColumn(LOAD_ID, F.lit(load_id))
     )
     if not spark.catalog.tableExists(name):
+        buckets = buckets_for(df.count()) if buckets is None else buckets
         _bucketed(state, name, buckets, path, (LOAD_ID,))
         set_property(spark, name, STATE_COLUMNS, columns)
         set_property(spark, name, STATE_BUCKETS, str(buckets))

@@ -98,3 +98,17 @@ def test_stored_split_equals_the_lazy_one(spark):
     assert sampling.stratified_split_stored(df.limit(0), key_cols=["id"]).count() == 0
     with pytest.raises(ValueError, match="_class"):
         sampling.stratified_split_stored(df.withColumnRenamed("id", "_class"))
+
+
+def test_buckets_follow_the_rows(spark, framed, tmp_path, monkeypatch):
+    def buckets(name):
+        return next(int(r.data_type) for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect() if r.col_name == "Num Buckets")
+
+    monkeypatch.setattr(D, "ROWS_PER_BUCKET", 500)
+    D.store_by_features(framed, "digests_grown", ["a", "b"], path=f"{tmp_path}/rows")
+    D.add_load_state(framed, "digests_grown_state", 1, path=f"{tmp_path}/state")
+    D.add_load_state(framed.limit(10), "digests_grown_state", 2)
+    assert buckets("digests_grown") == buckets("digests_grown_state") == 12
+    assert rows_of(D.stored_identical_rows(spark, "digests_grown")) == rows_of(leakage.feature_identical_rows(framed, ["a", "b"]))
+    D.store_by_features(framed.limit(0), "digests_small", ["a", "b"], path=f"{tmp_path}/small")
+    assert buckets("digests_small") == D.LEAST_BUCKETS
