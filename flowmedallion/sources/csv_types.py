@@ -16,8 +16,11 @@ from pyspark.sql import types as T
 
 INT, LONG, BIG, REAL, TRUTH, DAY, TIME, TEXT = (1 << i for i in range(8))
 LONGEST = T.DecimalType(38, 0)
+_SHORT = r"^\s*[+-]?\d{1,9}\s*$"
+_MIDDLE = r"^\s*[+-]?\d{1,18}\s*$"
 _WHOLE = r"^\s*[+-]?\d{1,38}\s*$"
-_REAL = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+_REAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_ODD_REAL = r"(?i)^\s*[+-]?(inf|infinity|nan)\s*$"
 _DAY = r"^\d{4}-\d{2}-\d{2}$"
 _TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"
 
@@ -28,13 +31,17 @@ Kinds = dict[str, int]
 def kind(value: Column) -> Column:
     """The kind of a text value; 0 for null and empty text.
 
-    Shapes are tested before any cast: a cast that fails costs some fifty times one that succeeds.
+    Shapes are tested before any cast: a cast that fails costs some fifty times one that succeeds, and
+    most numbers are told by their shape alone.
     """
-    whole = value.try_cast(LONGEST)
+    middle, whole = value.try_cast("bigint"), value.try_cast(LONGEST)
     return (
         F.when(value.isNull() | (value == ""), 0)
+        .when(value.rlike(_SHORT), INT)
+        .when(value.rlike(_REAL) & ~value.rlike(_WHOLE), REAL)
+        .when(value.rlike(_MIDDLE), F.when(middle.between(-(2**31), 2**31 - 1), INT).otherwise(LONG))
         .when(value.rlike(_WHOLE), F.when(whole.between(-(2**31), 2**31 - 1), INT).when(whole.between(-(2**63), 2**63 - 1), LONG).otherwise(BIG))
-        .when(value.rlike(_REAL) & value.try_cast("double").isNotNull(), REAL)
+        .when(value.rlike(_ODD_REAL) & value.try_cast("double").isNotNull(), REAL)
         .when(F.lower(value).isin("true", "false"), TRUTH)
         .when(value.rlike(_DAY) & value.try_cast("date").isNotNull(), DAY)
         .when(value.rlike(_TIME) & value.try_cast("timestamp").isNotNull(), TIME)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from flowmedallion.functions.expressions import FLOATING, null_if_nonfinite
 from flowmedallion.operators.schema import clean_column_name, clean_columns
-from flowmedallion.sources.csv_types import Kinds, column_state, merge_kinds, type_of, typed
+from flowmedallion.sources.csv_types import Kinds, kind, merge_kinds, type_of, typed
 
 logger = logging.getLogger(__name__)
 
@@ -86,15 +86,12 @@ def _bronze_csv(df: DataFrame, keep_nonfinite: bool) -> DataFrame:
     return df if keep_nonfinite else drop_nonfinite(df)
 
 
-def _file_path() -> Column:
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-
-
-def _entry_name(base: str) -> Column:
+def _entry_name(base: str, file: str = "_metadata.file_path") -> Column:
     """The name of the entry that a row's file belongs to."""
     root = urlsplit(base).path.strip("/")
-    inside = F.regexp_extract(_file_path(), rf"\Q/{root}/\E([^/]+)", 1)
-    return F.when(inside != "", inside).otherwise(F.substring_index(_file_path(), "/", -1))
+    path = F.url_decode(F.replace(F.col(file), F.lit("+"), F.lit("%2B")))
+    inside = F.regexp_extract(path, rf"\Q/{root}/\E([^/]+)", 1)
+    return F.when(inside != "", inside).otherwise(F.substring_index(path, "/", -1))
 
 
 def _first_line(spark: SparkSession, file: str) -> str | None:
@@ -155,9 +152,12 @@ def csv_kinds(spark: SparkSession, path: str, groups: list[list[str]] | None = N
         rows = _text_rows(spark, files)
         names.append([clean_column_name(c) for c in rows.columns])
         texts = F.array(*[F.col(f"`{c}`") for c in rows.columns])
-        # one row for each value: the test of a value is compiled once, not once for each column
-        values = rows.select(_entry_name(base).alias("entry"), F.posexplode(texts).alias("at", "value"))
-        part = values.groupBy("entry", "at").agg(column_state(F.col("value")).alias("state")).select(F.lit(header).alias("header"), "entry", "at", "state")
+        # the test of a value is one function over the row's array, so that its method stays small enough for the
+        # JVM to compile; the entry is read off the path once for each file and column, not for each value
+        values = rows.select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.transform(texts, kind)).alias("at", "kind"))
+        states = values.groupBy("file", "at").agg(F.bit_or("kind").alias("state"))
+        entries = states.groupBy(_entry_name(base, "file").alias("entry"), "at").agg(F.bit_or("state").alias("state"))
+        part = entries.select(F.lit(header).alias("header"), "entry", "at", "state")
         parts = part if parts is None else parts.unionAll(part)
     found: dict[str, Kinds] = {}
     for row in parts.collect() if parts is not None else []:
