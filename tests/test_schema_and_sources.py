@@ -412,3 +412,20 @@ def test_types_of_many_headers(spark, tmp_path):
     groups = list(readers.csv_headers(spark, str(tmp_path)).values())
     found = readers.csv_kinds(spark, str(tmp_path), groups)
     assert len(groups) == len(found) == 6 and all(kinds["a"] == 1 for kinds in found.values())
+
+
+def test_stored_jobs_split_huge_methods_and_leave_the_setting(spark, tmp_path):
+    from flowmedallion.sources.session import HUGE_METHOD_LIMIT, split_methods
+
+    before = spark.conf.get(HUGE_METHOD_LIMIT)
+    try:
+        spark.conf.unset(HUGE_METHOD_LIMIT)  # a session made elsewhere has Spark's own limit, or the one it was built with
+        spark.conf.set(HUGE_METHOD_LIMIT, "65535")
+        with split_methods(spark):
+            assert spark.conf.get(HUGE_METHOD_LIMIT) == "8000"
+        assert spark.conf.get(HUGE_METHOD_LIMIT) == "65535"
+        spark.conf.set(HUGE_METHOD_LIMIT, "20000")
+        with split_methods(spark):
+            assert spark.conf.get(HUGE_METHOD_LIMIT) == "20000"
+    finally:
+        spark.conf.set(HUGE_METHOD_LIMIT, before)
