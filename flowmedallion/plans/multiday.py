@@ -53,21 +53,22 @@ def load_layers(
 
     Gold is partitioned by day, so that the temporal split and reports by day
     read only the days they need, and, with a ``load_id``, by load as well, so that
-    increments can be repeated.
+    increments can be repeated.  Silver's files hold one day each, so Gold is written as
+    it is read from them, without a shuffle.
     """
 
-    def store(df: DataFrame, name: str, more: tuple[str, ...] = ()) -> DataFrame:
+    def store(df: DataFrame, name: str, more: tuple[str, ...] = (), gather: bool = True) -> DataFrame:
         days = ("day_of_week",) if "day_of_week" in df.columns else ()
-        write_table(df, name, fmt=fmt, path=layers.path(name), partition_by=(*days, *more))
+        write_table(df, name, fmt=fmt, path=layers.path(name), partition_by=(*days, *more), gather=gather)
         return spark.read.table(name)
 
     stored_bronze = store(bronze, layers.bronze)
     silver = store(clean_bronze_to_silver(stored_bronze, label_col=label_col), layers.silver)
     features = transform_silver_to_gold(silver, label_col)
     if load_id is None:
-        gold = store(features, layers.gold)
+        gold = store(features, layers.gold, gather=False)
     else:
-        gold = store(features.withColumn(LOAD_ID, F.lit(load_id)), layers.gold, (LOAD_ID,))
+        gold = store(features.withColumn(LOAD_ID, F.lit(load_id)), layers.gold, (LOAD_ID,), gather=False)
     dropped = [c for c in stored_bronze.columns if c not in silver.columns]
     set_property(spark, layers.gold, CONSTANTS, json.dumps(constants_of(stored_bronze, dropped, label_col)))
     return gold
@@ -123,7 +124,7 @@ def take_in(gold_table: str, silver: DataFrame, columns: list[str], known: dict,
     spark = silver.sparkSession
     table = spark.read.table(gold_table)
     filled = table.withColumns({c: F.lit(known[c]).cast(silver.schema[c].dataType) for c in columns})
-    replace_table(transform_silver_to_gold(filled, label_col), gold_table)
+    replace_table(transform_silver_to_gold(filled, label_col), gold_table, gather=False)
     rest = {c: value for c, value in known.items() if c not in columns}
     set_property(spark, gold_table, CONSTANTS, json.dumps(rest))
 

@@ -75,3 +75,23 @@ def test_increment_with_a_new_flag_is_taken_in_and_can_be_repeated(spark, bronze
         for r in rows:
             flag = 2 if r["_load_id"] == "first" else int(r["protocol"])
             assert r["cwr_flag_count"] == flag and r["total_flag_count"] == before[r["port"]]["total_flag_count"] + flag
+
+
+def test_gold_is_written_from_silver_without_a_shuffle(spark, bronze, tmp_path, monkeypatch):
+    from flowmedallion.plans import multiday
+    from flowmedallion.sources import tables
+
+    gathered = []
+    plain = tables.gathered
+    monkeypatch.setattr(tables, "gathered", lambda df, by: gathered.append(tuple(by)) or plain(df, by))
+    days = F.when(F.col("port") > 1000, "Monday").otherwise("Friday")
+    layers = multiday.Layers("gather_bronze", "gather_silver", "gather_gold", str(tmp_path / "layers"))
+    gold = multiday.load_layers(spark, bronze.withColumn("day_of_week", days).withColumn("newcomer", F.lit(0)), layers, load_id="first")
+    assert gathered == [("day_of_week",), ("day_of_week",)]  # Bronze and Silver
+    assert gold.count() == 5 and gold.groupBy("day_of_week").count().count() == 2
+    assert gold.select(F.input_file_name()).distinct().count() == 2
+    late = bronze.limit(2).withColumn("day_of_week", F.lit("Friday")).withColumn("newcomer", F.lit(7))
+    multiday.append_increment(late, layers.gold, evolve=True, load_id="late")
+    assert ("day_of_week", "_load_id") in gathered[2:] and len(gathered) == 3  # the increment; not the table that took the column in
+    table = spark.read.table(layers.gold)
+    assert sorted(r.newcomer for r in table.select("newcomer").collect()) == [0, 0, 0, 0, 0, 7, 7]
