@@ -24,6 +24,11 @@ def polished(df: DataFrame, label_col: str = "label") -> DataFrame:
     return cast_types(C.standardize_labels(C.handle_nulls(df), label_col))
 
 
+def cleaned_rows(df: DataFrame, label_col: str = "label") -> DataFrame:
+    """Silver with the copies still in it: every step that looks at one row."""
+    return C.add_derived_columns(polished(valid_rows(df), label_col), label_col)
+
+
 def constants_of(bronze: DataFrame, columns: Sequence[str], label_col: str = "label") -> dict[str, str | None]:
     """The one value, as text, of columns that cleaning found constant."""
     row = polished(valid_rows(bronze), label_col).select(*[F.col(f"`{c}`").cast("string") for c in columns]).first()
@@ -36,20 +41,21 @@ def clean_bronze_to_silver(
     label_col: str = "label",
     drop_constants: bool = True,
     subset: list[str] | None = None,
+    together: Sequence[str] = (),
 ) -> DataFrame:
     """The seven cleaning steps with one shuffle.
 
     Row rules look at one row only, so they run before de-duplication and reach
     the scan.  Whether a column is constant does not depend on copies, so constant
     columns are found on the frame before the de-duplication shuffle.
-    ``drop_constants=False`` keeps the whole thing lazy.
+    ``drop_constants=False`` keeps the whole thing lazy.  ``together`` as in ``remove_duplicates``.
     """
     valid = valid_rows(df, critical_columns)
 
     def polish(rows: DataFrame) -> DataFrame:
         return polished(rows, label_col)
 
-    distinct = C.remove_duplicates(valid, subset)
+    distinct = C.remove_duplicates(valid, subset, together=together)
     if subset is not None and drop_constants:
         # any row of a group may stay, so the choice is stored before it is measured
         distinct = materialize(distinct, "distinct")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from flowmedallion.operators import reports
 from flowmedallion.operators.profiling import layer_counts
 from flowmedallion.operators.schema import align_to_schema
-from flowmedallion.plans.layers import clean_bronze_to_silver, constants_of, transform_silver_to_gold
+from flowmedallion.plans.layers import clean_bronze_to_silver, cleaned_rows, constants_of, transform_silver_to_gold
 from flowmedallion.sources.readers import ingest_multi_day
 from flowmedallion.sources.tables import (
     LOAD_ID,
@@ -129,7 +130,15 @@ def take_in(gold_table: str, silver: DataFrame, columns: list[str], known: dict,
     set_property(spark, gold_table, CONSTANTS, json.dumps(rest))
 
 
-def increment_to_gold(new_rows: DataFrame, gold_table: str, label_col: str = "label", evolve: bool = False) -> DataFrame:
+def _partitions_given(new_rows: DataFrame, gold_table: str) -> list[str]:
+    """The table's partition columns, by which the rows can be brought together; none if the rows lack one."""
+    found = table_partitions(new_rows.sparkSession, gold_table)
+    return found if set(found) <= set(new_rows.columns) else []
+
+
+def increment_to_gold(
+    new_rows: DataFrame, gold_table: str, label_col: str = "label", evolve: bool = False, together: Sequence[str] = ()
+) -> DataFrame:
     """New Bronze rows through cleaning and features, on the columns that the table was built from.
 
     Columns that the table dropped as constant must still hold their one value (where it
@@ -137,14 +146,16 @@ def increment_to_gold(new_rows: DataFrame, gold_table: str, label_col: str = "la
     that the table lacks: such an increment is refused, because its features and values
     would not mean what the table's mean.  With ``evolve``, columns whose constant is on record are taken
     into the table first: its rows get the constant, and all features are worked out again.
+    ``together`` as in ``remove_duplicates``.
     """
     spark = new_rows.sparkSession
     table = spark.read.table(gold_table)
-    silver = clean_bronze_to_silver(new_rows, label_col=label_col, drop_constants=False)
+    silver = clean_bronze_to_silver(new_rows, label_col=label_col, drop_constants=False, together=together)
     extra = [c for c in silver.columns if c not in table.columns]
     recorded = get_property(spark, gold_table, CONSTANTS)
     known = None if recorded is None else json.loads(recorded)
-    changed = varying_columns(silver, extra, known, gold_table)
+    # copies do not make a column vary, so it is measured before the shuffle
+    changed = varying_columns(cleaned_rows(new_rows, label_col), extra, known, gold_table)
     if evolve and known is not None and changed and set(changed) <= set(known):
         take_in(gold_table, silver, changed, known, label_col)
         extra = [c for c in extra if c not in changed]
@@ -165,10 +176,12 @@ def append_increment(
     by_load = LOAD_ID in table_partitions(spark, gold_table)
     if by_load != (load_id is not None):
         raise ValueError(f"{gold_table} is {'' if by_load else 'not '}partitioned by load, so it {'needs' if by_load else 'takes no'} load_id")
-    rows = increment_to_gold(new_rows, gold_table, label_col, evolve)
     if load_id is None:
-        append_table(rows, gold_table, drop_extra=True)
+        together = _partitions_given(new_rows, gold_table)
+        rows = increment_to_gold(new_rows, gold_table, label_col, evolve, together)
+        append_table(rows, gold_table, drop_extra=True, gather=not together)
         return
+    rows = increment_to_gold(new_rows, gold_table, label_col, evolve)
     table = spark.read.table(gold_table)
     own = {tuple(row) for row in partition_rows(table.filter(F.col(LOAD_ID) == load_id), table_partitions(spark, gold_table))}
     aligned = align_to_schema(rows.withColumn(LOAD_ID, F.lit(load_id)), table.schema, drop_extra=True)

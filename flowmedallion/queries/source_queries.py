@@ -341,8 +341,8 @@ def _incremental_append(spark, sf):
     name, path = "flowmedallion_gold_increment", scratch_path(spark, "increment")
     flows = A.flows(spark, sf)
     late = F.col("day_of_week").isin("Thursday", "Friday")
-    first = transform_silver_to_gold(clean_bronze_to_silver(flows.filter(~late)))
-    tables.write_table(first, name, path=path, partition_by=("day_of_week",))
+    first = transform_silver_to_gold(clean_bronze_to_silver(flows.filter(~late), together=("day_of_week",)))
+    tables.write_table(first, name, path=path, partition_by=("day_of_week",), gather=False)
     append_increment(flows.filter(late), name)
     return (
         spark.read.table(name)

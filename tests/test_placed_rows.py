@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from flowmedallion.functions import hashing
 from flowmedallion.operators import cleaning
-from flowmedallion.plans.layers import clean_bronze_to_silver
+from flowmedallion.plans import multiday
+from flowmedallion.plans.layers import clean_bronze_to_silver, transform_silver_to_gold
+from flowmedallion.sources import tables
 
 
 def operators(df):
@@ -69,3 +71,34 @@ def test_nested_and_collated_rows_are_compared_as_values(spark):
 def test_places_are_spread(spark):
     df = spark.range(20_000).select(F.col("id").alias("a"), F.lit(None).cast("string").alias("b"))
     assert df.select(hashing.row_place(df.columns).alias("p")).agg(F.count_distinct("p"), F.min("p") >= 0).first()[0] > 15_000
+
+
+def test_rows_of_a_day_come_together(spark):
+    day = F.when(F.col("id") % 5 > 0, F.concat(F.lit("day-"), F.col("id") % 5))
+    df = spark.range(4000).select((F.col("id") % 1000).alias("a"), day.alias("day")).repartition(4)
+    once = cleaning.remove_duplicates(df, together=["day"])
+    found = operators(once)
+    assert found.count("Exchange") == 2 and "HashAggregate" not in found[found.index("Exchange") :]
+    assert sorted(once.collect(), key=repr) == sorted(df.distinct().collect(), key=repr)
+    tasks = once.select("day", F.spark_partition_id().alias("p")).distinct().groupBy("p").count()
+    assert tasks.agg(F.max("count")).first()[0] <= 5
+    nested = df.withColumn("list", F.array("a"))
+    assert cleaning.remove_duplicates(nested, together=["day"]).count() == once.count()
+    assert cleaning.remove_duplicates(nested, ["day"], together=["day"]).count() == 5
+
+
+@pytest.mark.parametrize("days", [True, False])
+def test_an_increment_is_shuffled_once(spark, bronze, tmp_path, monkeypatch, days):
+    """Rows cleaned by day are written as they come; they are gathered only where the days are not known before."""
+    by = "day_of_week" if days else "attack_category"
+    first = transform_silver_to_gold(clean_bronze_to_silver(bronze.withColumn("day_of_week", F.lit("Monday")), drop_constants=False))
+    name, seen = f"placed_increment_{by}", []
+    tables.write_table(first, name, path=str(tmp_path / "gold"), partition_by=(by,))
+    plain = tables.gathered
+    monkeypatch.setattr(tables, "gathered", lambda df, columns: seen.append(columns) or plain(df, columns))
+    more = bronze.unionByName(bronze).withColumn("day_of_week", F.when(F.col("port") > 5000, "Friday").otherwise("Thursday"))
+    multiday.append_increment(more, name)
+    assert bool(seen) != days
+    stored = spark.read.table(name)
+    assert {r.day_of_week: r["count"] for r in stored.groupBy("day_of_week").count().collect()} == {"Monday": 5, "Thursday": 2, "Friday": 3}
+    spark.sql(f"DROP TABLE {name}")
