@@ -114,3 +114,18 @@ def test_random_rows(spark):
     picked = S.random_rows(df, 10, ["id"])
     assert picked.count() == 10 and picked.exceptAll(S.random_rows(df.repartition(4), 10, ["id"])).count() == 0
     assert "TakeOrderedAndProject" in picked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sides_are_those_of_the_exact_split(spark):
+    columns = "id", F.when(F.col("id") % 4 > 0, F.col("id") % 2).cast("int").alias("is_attack"), (F.col("id") / 3).cast("int").alias("key")
+    for n in (0, 1, 2, 1000):
+        df = spark.range(n, numPartitions=3).select(*columns)  # a null class, and copies of keys
+        for share in (0.0, 0.2, 1.0):
+            exact = S.stratified_split_exact(df, key_cols=["key"], test_share=share, seed=43)
+            sides = S.stratified_sides(df, key_cols=["key"], test_share=share, seed=43)
+            train, test = S.part(exact, S.TRAIN), S.part(exact, S.TEST)
+            for found, wanted in ((sides.train(df), train), (sides.test(df), test)):
+                assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+            assert sides.train_rows == train.count()
+            bound = S.part(S.bound_train(exact, 300, ["key"]), S.TRAIN)
+            assert sorted(map(str, sides.train(df, 300, ["key"]).collect())) == sorted(map(str, bound.collect()))
