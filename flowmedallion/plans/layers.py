@@ -42,6 +42,7 @@ def clean_bronze_to_silver(
     drop_constants: bool = True,
     subset: list[str] | None = None,
     together: Sequence[str] = (),
+    stored: bool = False,
 ) -> DataFrame:
     """The seven cleaning steps with one shuffle.
 
@@ -49,13 +50,18 @@ def clean_bronze_to_silver(
     the scan.  Whether a column is constant does not depend on copies, so constant
     columns are found on the frame before the de-duplication shuffle.
     ``drop_constants=False`` keeps the whole thing lazy.  ``together`` as in ``remove_duplicates``.
+    A frame that is ``stored`` is read twice for the de-duplication, which then shuffles whole only rows that may
+    have a copy (``remove_stored_duplicates``, which is eager).
     """
     valid = valid_rows(df, critical_columns)
 
     def polish(rows: DataFrame) -> DataFrame:
         return polished(rows, label_col)
 
-    distinct = C.remove_duplicates(valid, subset, together=together)
+    if stored and subset is None:
+        distinct = C.remove_stored_duplicates(valid, together)
+    else:
+        distinct = C.remove_duplicates(valid, subset, together=together)
     if subset is not None and drop_constants:
         # any row of a group may stay, so the choice is stored before it is measured
         distinct = materialize(distinct, "distinct")

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowmedallion.operators import reports
+from flowmedallion.operators.cleaning import is_plain
 from flowmedallion.operators.profiling import layer_counts
 from flowmedallion.operators.schema import align_to_schema
 from flowmedallion.plans.layers import clean_bronze_to_silver, cleaned_rows, constants_of, transform_silver_to_gold
 from flowmedallion.sources.readers import ingest_multi_day
+from flowmedallion.sources.session import materialized
 from flowmedallion.sources.tables import (
     LOAD_ID,
     append_table,
@@ -49,13 +52,15 @@ def load_layers(
     label_col: str = "label",
     fmt: str = "parquet",
     load_id: str | None = None,
+    gather: bool = True,
 ) -> DataFrame:
     """Write bronze, silver and gold; each layer is read back from its table.
 
     Gold is partitioned by day, so that the temporal split and reports by day
     read only the days they need, and, with a ``load_id``, by load as well, so that
     increments can be repeated.  Silver's files hold one day each, so Gold is written as
-    it is read from them, without a shuffle.
+    it is read from them, without a shuffle.  With ``gather=False`` Bronze and Silver are written as they come, too: only
+    rows that may have a copy are shuffled, and a day has a file for each task that held rows of it.
     """
 
     def store(df: DataFrame, name: str, more: tuple[str, ...] = (), gather: bool = True) -> DataFrame:
@@ -63,8 +68,9 @@ def load_layers(
         write_table(df, name, fmt=fmt, path=layers.path(name), partition_by=(*days, *more), gather=gather)
         return spark.read.table(name)
 
-    stored_bronze = store(bronze, layers.bronze)
-    silver = store(clean_bronze_to_silver(stored_bronze, label_col=label_col), layers.silver)
+    stored_bronze = store(bronze, layers.bronze, gather=gather)
+    together = [] if gather else [c for c in table_partitions(spark, layers.bronze) if c in bronze.columns]
+    silver = store(clean_bronze_to_silver(stored_bronze, label_col=label_col, together=together, stored=True), layers.silver, gather=gather)
     features = transform_silver_to_gold(silver, label_col)
     if load_id is None:
         gold = store(features, layers.gold, gather=False)
@@ -80,7 +86,7 @@ def load_multi_day(spark: SparkSession, input_path: str, layers: Layers) -> Data
     bronze = ingest_multi_day(spark, input_path)
     if bronze is None:
         raise ValueError(f"no day files in {input_path}")
-    return load_layers(spark, bronze, layers)
+    return load_layers(spark, bronze, layers, gather=False)
 
 
 def layer_reports(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
@@ -137,7 +143,12 @@ def _partitions_given(new_rows: DataFrame, gold_table: str) -> list[str]:
 
 
 def increment_to_gold(
-    new_rows: DataFrame, gold_table: str, label_col: str = "label", evolve: bool = False, together: Sequence[str] = ()
+    new_rows: DataFrame,
+    gold_table: str,
+    label_col: str = "label",
+    evolve: bool = False,
+    together: Sequence[str] = (),
+    stored: bool = False,
 ) -> DataFrame:
     """New Bronze rows through cleaning and features, on the columns that the table was built from.
 
@@ -146,11 +157,11 @@ def increment_to_gold(
     that the table lacks: such an increment is refused, because its features and values
     would not mean what the table's mean.  With ``evolve``, columns whose constant is on record are taken
     into the table first: its rows get the constant, and all features are worked out again.
-    ``together`` as in ``remove_duplicates``.
+    ``together`` and ``stored`` as in ``clean_bronze_to_silver``.
     """
     spark = new_rows.sparkSession
     table = spark.read.table(gold_table)
-    silver = clean_bronze_to_silver(new_rows, label_col=label_col, drop_constants=False, together=together)
+    silver = clean_bronze_to_silver(new_rows, label_col=label_col, drop_constants=False, together=together, stored=stored)
     extra = [c for c in silver.columns if c not in table.columns]
     recorded = get_property(spark, gold_table, CONSTANTS)
     known = None if recorded is None else json.loads(recorded)
@@ -165,12 +176,18 @@ def increment_to_gold(
 
 
 def append_increment(
-    new_rows: DataFrame, gold_table: str, label_col: str = "label", evolve: bool = False, load_id: str | None = None
+    new_rows: DataFrame,
+    gold_table: str,
+    label_col: str = "label",
+    evolve: bool = False,
+    load_id: str | None = None,
+    gather: bool = True,
 ) -> None:
     """Append new Bronze rows to the Gold table, in the columns of that table.
 
     With a ``load_id``, for a table that is partitioned by load, an increment that is repeated replaces
-    its own rows, whatever part of an earlier run was written.
+    its own rows, whatever part of an earlier run was written.  Its new rows are stored while it runs, since they are read
+    several times, and ``gather`` is as in ``load_layers``.
     """
     spark = new_rows.sparkSession
     by_load = LOAD_ID in table_partitions(spark, gold_table)
@@ -181,8 +198,11 @@ def append_increment(
         rows = increment_to_gold(new_rows, gold_table, label_col, evolve, together)
         append_table(rows, gold_table, drop_extra=True, gather=not together)
         return
-    rows = increment_to_gold(new_rows, gold_table, label_col, evolve)
-    table = spark.read.table(gold_table)
-    own = {tuple(row) for row in partition_rows(table.filter(F.col(LOAD_ID) == load_id), table_partitions(spark, gold_table))}
-    aligned = align_to_schema(rows.withColumn(LOAD_ID, F.lit(load_id)), table.schema, drop_extra=True)
-    overwrite_partitions(aligned, gold_table, own)
+    partitions, plain = table_partitions(spark, gold_table), is_plain(new_rows)
+    together = [] if gather else [c for c in partitions if c in new_rows.columns]
+    with materialized(new_rows, "increment") if plain else nullcontext(new_rows) as given:
+        rows = increment_to_gold(given, gold_table, label_col, evolve, together, stored=plain)
+        table = spark.read.table(gold_table)
+        own = {tuple(row) for row in partition_rows(table.filter(F.col(LOAD_ID) == load_id), partitions)}
+        aligned = align_to_schema(rows.withColumn(LOAD_ID, F.lit(load_id)), table.schema, drop_extra=True)
+        overwrite_partitions(aligned, gold_table, own, gather=gather)

@@ -13,7 +13,7 @@ from flowmedallion.queries import adapter as A
 from flowmedallion.queries.cleaning_queries import _messy
 from flowmedallion.queries.registry import query
 from flowmedallion.sources import readers, tables
-from flowmedallion.sources.session import scratch_path
+from flowmedallion.sources.session import scratch_path, unsorted_writes
 from flowmedallion.sources.synth import synthesize_flows
 
 _CSV = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -122,7 +122,8 @@ def _write_day_files(spark, sf) -> str:
     path = scratch_path(spark, "days")
     flows = A.flows(spark, sf)
     raw = flows.drop("_source_file").withColumn("_day", F.col("day_of_week")).drop("day_of_week")
-    raw.hint("rebalance", "_day").write.partitionBy("_day").parquet(f"{path}/all")
+    with unsorted_writes(spark):
+        raw.write.partitionBy("_day").parquet(f"{path}/all")
     for day in _DAYS:  # names only: the rows were written once
         tables.rename_path(spark, f"{path}/all/_day={day}", f"{path}/flows-{day}.parquet")
     return path
@@ -364,9 +365,9 @@ def _incremental_repeat(spark, sf):
     layers = Layers("flowmedallion_repeat_bronze", "flowmedallion_repeat_silver", "flowmedallion_repeat_gold", scratch_path(spark, "repeat"))
     flows = A.flows(spark, sf)
     late = F.col("day_of_week").isin("Thursday", "Friday")
-    load_layers(spark, flows.filter(~late).withColumn("newcomer", F.lit(0)), layers, load_id="first")
+    load_layers(spark, flows.filter(~late).withColumn("newcomer", F.lit(0)), layers, load_id="first", gather=False)
     for _ in range(2):
-        append_increment(flows.filter(late).withColumn("newcomer", F.lit(7)), layers.gold, evolve=True, load_id="late")
+        append_increment(flows.filter(late).withColumn("newcomer", F.lit(7)), layers.gold, evolve=True, load_id="late", gather=False)
     return (
         spark.read.table(layers.gold)
         .groupBy("day_of_week", "label", "is_attack")
