@@ -14,6 +14,11 @@ def rows_of(df):
     return sorted((tuple(row) for row in df.collect()), key=repr)
 
 
+def scratch(spark):
+    root = f"{session.scratch_root(spark)}/flowmedallion/{spark.sparkContext.applicationId}"
+    return {path for name in ("increment", "partitions") for path in glob.glob(f"{root}/{name}-*")}
+
+
 @pytest.fixture
 def few_copies(spark, tmp_path):
     nan = float("nan")
@@ -58,12 +63,11 @@ def test_day_files_and_increments_are_not_gathered(spark, bronze, tmp_path, monk
     days = bronze.withColumn("day_of_week", F.when(F.col("port") > 5000, "Monday").otherwise("Friday"))
     loaded = multiday.Layers("load_bronze", "load_silver", "load_gold", str(tmp_path / "loads"))
     multiday.load_layers(spark, days.withColumn("newcomer", F.lit(0)), loaded, load_id="first", gather=False)
-    late = bronze.unionByName(bronze).withColumn("day_of_week", F.lit("Friday")).withColumn("newcomer", F.lit(7))
+    late, before = bronze.unionByName(bronze).withColumn("day_of_week", F.lit("Friday")).withColumn("newcomer", F.lit(7)), scratch(spark)
     for _ in range(2):
         multiday.append_increment(late, "load_gold", evolve=True, load_id="late", gather=False)
     found = spark.read.table("load_gold").groupBy("_load_id", "newcomer").count()
     assert rows_of(found) == [("first", 0, 5), ("late", 7, 5)] and not gathered
-    root = session.scratch_root(spark)
-    assert not [p for name in ("increment", "partitions") for p in glob.glob(f"{root}/flowmedallion/{spark.sparkContext.applicationId}/{name}-*")]
+    assert scratch(spark) == before  # what the increments stored is gone
     for table in ("plain_bronze", "plain_silver", "plain_gold", "load_bronze", "load_silver", "load_gold"):
         spark.sql(f"DROP TABLE {table}")
